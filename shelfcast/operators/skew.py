@@ -235,11 +235,11 @@ def with_stats_from(
     return attach(df, source.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()]), keys)
 
 
-def average_rank(value: str) -> Column:
+def average_rank(value: str, keys: Sequence[str] = ()) -> Column:
     """Rank over n with ties sharing their average rank.
 
-    A window without keys: use it on summary tables (one row per store, say) only.
+    Use it on summary tables (one row per store, say): without keys it is one task.
     """
-    ties = F.count(F.lit(1)).over(Window.partitionBy(value))
-    rows = F.count(F.lit(1)).over(Window.partitionBy())
-    return (F.rank().over(Window.orderBy(value)) + (ties - 1) / 2) / rows
+    ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, value))
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return (F.rank().over(Window.partitionBy(*keys).orderBy(value)) + (ties - 1) / 2) / rows
