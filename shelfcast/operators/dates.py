@@ -60,7 +60,7 @@ def holiday_distance(df: DataFrame, holidays: DataFrame) -> DataFrame:
         F.col("holiday_date").alias("h")
     ).distinct()
     first, last = days.agg(F.min("h"), F.max("h")).first()
-    df = attach(df, _distance_table(days, []), ["sale_date"])
+    df = df.join(_distance_table(days, []), "sale_date", "left")
     before = F.date_diff(F.lit(first), "sale_date")
     after = F.date_diff("sale_date", F.lit(last))
     return df.withColumns(
@@ -82,7 +82,7 @@ def holiday_distance_by_type(
     firsts = {r["type"]: r["h"] for r in days.groupBy("type").agg(F.min("h").alias("h")).collect()}
     types = sorted(firsts) if types is None else types
     table = _distance_table(days, ["type"]).groupBy("sale_date").pivot("type", types or [""])
-    df = attach(df, table.agg(F.min("_to")), ["sale_date"])
+    df = df.join(table.agg(F.min("_to")), "sale_date", "left")
     for name in types:
         before = F.date_diff(F.lit(firsts.get(name)).cast("date"), "sale_date")
         found = F.coalesce(F.col(f"`{name}`"), F.when(before > 0, before))

@@ -78,16 +78,23 @@ def rolling_columns(
         out["_recent"] = F.collect_list(value).over(_frame(w, max(windows), exclude_current))
     d = d.withColumns(out)
     if "median" in stats:
+        for n in windows:
+            d = d.withColumn(f"_sorted_{n}", _sorted_last(F.col("_recent"), n))
         d = d.withColumns(
-            {name("median", n): _middle(F.col("_recent"), n, F.col(f"_known_{n}")) for n in windows}
-        ).drop("_recent", *[f"_known_{n}" for n in windows])
+            {name("median", n): _middle(F.col(f"_sorted_{n}"), F.col(f"_known_{n}")) for n in windows}
+        ).drop("_recent", *[f"{c}_{n}" for n in windows for c in ("_known", "_sorted")])
     return d
 
 
-def _middle(recent: Column, n: int, known: Column) -> Column:
-    last = F.sort_array(F.slice(recent, F.greatest(F.size(recent) - n + 1, F.lit(1)), F.lit(n)))
-    low, high = F.floor((known - 1) / 2).cast("int"), F.floor(known / 2).cast("int")
-    return F.when(known > 0, (F.get(last, low) + F.get(last, high)) / 2)
+def _sorted_last(recent: Column, n: int) -> Column:
+    return F.sort_array(F.slice(recent, F.greatest(F.size(recent) - n + 1, F.lit(1)), F.lit(n)))
+
+
+def _middle(values: Column, known: Column) -> Column:
+    """Median of the first ``known`` values; NULL when there are none (position -1)."""
+    low = F.floor((known - 1) / 2).cast("int")
+    high = F.floor(known / 2).cast("int")
+    return (F.get(values, low) + F.get(values, high)) / 2
 
 
 def rolling(

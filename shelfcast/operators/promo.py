@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import ratio
-from shelfcast.operators.skew import attach, ordered, with_stats
+from shelfcast.operators.skew import ordered, with_stats
 from shelfcast.schema import GROUP, NO_PROMO, ORDER
 from shelfcast.sources.load import unique_promotions
 
@@ -16,7 +16,7 @@ def promo_lookup(df: DataFrame, promotions: DataFrame) -> DataFrame:
         F.col("promo_type").alias("promo_type_ext"),
         F.col("is_clearance").alias("clearance_ext"),
     )
-    return attach(df, names, ["promo_id"]).fillna(
+    return df.join(names, "promo_id", "left").fillna(
         {"promo_type_ext": NO_PROMO, "clearance_ext": 0}
     )
 

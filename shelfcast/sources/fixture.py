@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.sources.load import load
+from shelfcast.sources.load import load, spread
 
 PROMOTION_ROWS = [
     "(5, 'discount', 'Нет', CAST(5 AS DOUBLE), DATE '1995-01-01', DATE '1997-12-31')",
@@ -32,6 +32,19 @@ CROSS JOIN (VALUES (1, 1, 'new_year', 'state', 1), (2, 23, 'defender', 'state',
   (5, 9, 'victory', 'state', 1), (1, 7, 'christmas', 'religious', 1),
   (8, 28, 'assumption', 'religious', 0), (12, 31, 'eve', 'family', 0))
   AS h(m, d, name, kind, off)"""
+# Columns of the test tables used here; stating them saves a look at every file.
+RAW = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
 HOLIDAY_TYPES = ["family", "religious", "state"]
 
 
@@ -43,7 +56,7 @@ class Retail:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _lines(self) -> DataFrame:
         part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
@@ -51,7 +64,8 @@ class Retail:
             F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
         )
         return (
-            self.table("lineitem").join(part, "l_partkey").join(supplier, "l_suppkey")
+            spread(self.table("lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+            .join(part, "l_partkey").join(supplier, "l_suppkey")
             .withColumns(
                 {
                     "sku": F.col("p_brand"),

@@ -12,7 +12,6 @@ from shelfcast.functions.columns import (
     day_first_date,
     present,
 )
-from shelfcast.operators.skew import attach, lookup
 
 RETURN_KEY = ["receipt_id", "sku", "store_id"]
 
@@ -29,6 +28,15 @@ def read_table(spark: SparkSession, path: str, schema, fmt: str = "csv") -> Data
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows out by ``by`` when the files give fewer read tasks than there are cores.
+
+    A large table has many more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_promotions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return parse_promotions(read_table(spark, path, S.PROMOTIONS_TEXT, fmt))
 
@@ -89,6 +97,9 @@ def add_receipt_totals(sales: DataFrame) -> DataFrame:
 
 
 # ---- dimensions --------------------------------------------------------------
+#
+# Read from files, so Spark knows their size and broadcasts them when they are small
+# (spark.sql.autoBroadcastJoinThreshold); no hint is given.
 
 def unique_holidays(holidays: DataFrame) -> DataFrame:
     """One row per date: the holiday whose name sorts first."""
@@ -99,7 +110,7 @@ def unique_holidays(holidays: DataFrame) -> DataFrame:
 
 
 def join_holidays(sales: DataFrame, holidays: DataFrame) -> DataFrame:
-    joined = attach(sales, unique_holidays(holidays), ["sale_date"])
+    joined = sales.join(unique_holidays(holidays), "sale_date", "left")
     return joined.select(
         *sales.columns,
         present(F.col("holiday_name")).alias("is_holiday"),
@@ -122,7 +133,7 @@ def active_promo(promo_id: Column, date: Column, start: Column, end: Column) ->
 
 def join_promotions(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     """Add promotion type, discount, clearance flag and whether it runs on the sale date."""
-    joined = attach(sales, unique_promotions(promotions), ["promo_id"])
+    joined = sales.join(unique_promotions(promotions), "promo_id", "left")
     return joined.select(
         *sales.columns,
         active_promo(
@@ -138,7 +149,7 @@ def join_products(sales: DataFrame, products: DataFrame | None) -> DataFrame:
     """Add product attributes; the product table may be absent."""
     if products is None:
         return sales
-    return sales.join(lookup(products.dropDuplicates(["sku"]), "products"), "sku", "left")
+    return sales.join(products.dropDuplicates(["sku"]), "sku", "left")
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:
