@@ -22,10 +22,10 @@ SALES_SQL = """SELECT l.l_orderkey AS receipt_id, l.l_partkey AS line_part,
   l.l_suppkey AS line_supp, l.l_linenumber AS line_no, p.p_brand AS sku,
   CONCAT('S', CAST(s.s_nationkey AS VARCHAR(8))) AS store_id,
   CAST(l.l_shipdate AS DATE) AS sale_date, l.l_quantity AS quantity,
-  ROUND(l.l_extendedprice * 100) AS base_price,
-  CASE WHEN (l.l_orderkey + l.l_partkey) % 50 = 0 THEN -ROUND(l.l_extendedprice * 10)
-       ELSE ROUND(l.l_extendedprice * 100 * (1 - l.l_discount)) END AS price,
-  CASE WHEN l.l_discount >= 0.045 THEN CAST(ROUND(l.l_discount * 100) AS INT) ELSE 0 END AS promo_id,
+  FLOOR(l.l_extendedprice * 100 + 0.5) AS base_price,
+  CASE WHEN (l.l_orderkey + l.l_partkey) % 50 = 0 THEN -FLOOR(l.l_extendedprice * 10 + 0.5)
+       ELSE FLOOR(l.l_extendedprice * 100 * (1 - l.l_discount) + 0.5) END AS price,
+  CASE WHEN l.l_discount >= 0.045 THEN CAST(FLOOR(l.l_discount * 100 + 0.5) AS INT) ELSE 0 END AS promo_id,
   CASE WHEN l.l_tax >= 0.055 THEN 'CODE' ELSE NULL END AS promo_code,
   CASE WHEN o.o_custkey % 4 = 0 THEN '  ' ELSE CAST(o.o_custkey AS VARCHAR(20)) END AS customer_card,
   CAST(ASCII(SUBSTRING(p.p_brand, LENGTH(p.p_brand), 1)) % 2 AS INT) AS weighed

@@ -113,7 +113,7 @@ CALENDAR_SQL = """(ISODOW(sale_date) - 1) AS weekday, MONTH(sale_date) AS month,
   QUARTER(sale_date) AS quarter, DAY(sale_date) AS day_of_month"""
 
 CASES_SQL = """SELECT ROW_NUMBER() OVER (ORDER BY sku, store_id) AS case_id, sku, store_id,
-  CAST(sale_date + INTERVAL 7 DAY AS DATE) AS sale_date, ROUND(price * 0.95) AS price
+  CAST(sale_date + INTERVAL 7 DAY AS DATE) AS sale_date, FLOOR(price * 0.95 + 0.5) AS price
 FROM (SELECT sku, store_id, sale_date, price,
         ROW_NUMBER() OVER (PARTITION BY sku, store_id ORDER BY sale_date DESC, receipt_id DESC,
           line_part DESC, line_supp DESC, line_no DESC, quantity DESC, base_price DESC) AS rn
@@ -128,7 +128,7 @@ def cases(r):
     return found.select(
         F.concat_ws("|", *S.GROUP).alias("case_id"), *S.GROUP,
         F.date_add("c.sale_date", 7).alias("sale_date"),
-        F.round(F.col("c.price") * 0.95).alias("price"),
+        F.floor(F.col("c.price") * 0.95 + 0.5).cast("double").alias("price"),
     )
 
 

@@ -25,13 +25,13 @@ def sale_season(df: DataFrame) -> DataFrame:
     return df.withColumn("sale_season", C.sale_season(F.col("sale_date")))
 
 
-def days_since_start(df: DataFrame, scope=()) -> DataFrame:
+def days_since_start(df: DataFrame, scope=(), source=None) -> DataFrame:
     """Days since the first date of the table (of the case, when scoring cases)."""
     if scope:
-        starts = df.groupBy(*scope).agg(F.min("sale_date").alias("_start"))
+        starts = (source or df).groupBy(*scope).agg(F.min("sale_date").alias("_start"))
         df = attach(df, starts, scope)
     else:
-        df = df.withColumn("_start", F.lit(df.agg(F.min("sale_date")).first()[0]))
+        df = df.withColumn("_start", F.lit((source or df).agg(F.min("sale_date")).first()[0]))
     return df.withColumn("days_since_start", F.date_diff("sale_date", "_start")).drop("_start")
 
 

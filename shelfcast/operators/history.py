@@ -26,8 +26,10 @@ def lag_columns(d: DataFrame, w, lags: Sequence[int], target: str, fill: str) ->
     )
 
 
-def with_median(df: DataFrame, keys: Sequence[str], target: str, out: str) -> DataFrame:
-    return attach(df, quantiles(df, keys, target, {out: 0.5}), keys)
+def with_median(
+    df: DataFrame, keys: Sequence[str], target: str, out: str, source: DataFrame | None = None
+) -> DataFrame:
+    return attach(df, quantiles(source or df, keys, target, {out: 0.5}), keys)
 
 
 def lags(
@@ -38,10 +40,10 @@ def lags(
     scope=(),
 ) -> DataFrame:
     """Row lags; where there is no such row, the median of ``fill_by``."""
-    df = with_median(df, [*scope, *fill_by], target, "_median")
+    rows = with_median(df, [*scope, *fill_by], target, "_median")
     return ordered(
-        df, [*scope, *GROUP], ORDER,
-        lambda d, w: lag_columns(d, w, lags, target, "_median"), max(lags),
+        rows, [*scope, *GROUP], ORDER,
+        lambda d, w: lag_columns(d, w, lags, target, "_median"), max(lags), source=df,
     ).drop("_median")
 
 
@@ -152,15 +154,19 @@ def trend_diff(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def yoy_change(df: DataFrame, target: str = "net_sales", scope=()) -> DataFrame:
+def yoy_change(
+    df: DataFrame, target: str = "net_sales", scope=(), source: DataFrame | None = None
+) -> DataFrame:
     """Value over the previous value of the group on the same day of the year."""
-    df = df.withColumn("_doy", F.dayofyear("sale_date"))
+    doy = F.dayofyear("sale_date")
+    df, source = df.withColumn("_doy", doy), (source or df).withColumn("_doy", doy)
     return ordered(
         df, [*scope, *GROUP, "_doy"], ORDER,
         lambda d, w: d.withColumn(
             "yoy_change", ratio(F.col(target), F.lag(target).over(w), 1)
         ),
         1,
+        source=source,
     ).drop("_doy")
 
 

@@ -27,7 +27,7 @@ def promos_in_store_day(df: DataFrame, scope=()) -> DataFrame:
     )
 
 
-def promo_share_30(df: DataFrame, scope=()) -> DataFrame:
+def promo_share_30(df: DataFrame, scope=(), source=None) -> DataFrame:
     """Share of promotion rows among the SKU's last 30 rows, all stores in store order."""
     return ordered(
         df,
@@ -37,6 +37,7 @@ def promo_share_30(df: DataFrame, scope=()) -> DataFrame:
             "promo_share_30", F.avg("promo_active").over(w.rowsBetween(-29, 0))
         ),
         29,
+        source=source,
     )
 
 
@@ -53,12 +54,13 @@ def recent_promo_7(df: DataFrame, scope=()) -> DataFrame:
     return ordered(df, [*scope, *GROUP], ORDER, recent_promo_columns, 7)
 
 
-def promo_effectiveness(df: DataFrame, scope=()) -> DataFrame:
+def promo_effectiveness(df: DataFrame, scope=(), source=None) -> DataFrame:
     """Mean net sales of the row's own promotion state, and the ratio on / off promotion."""
     on, off = F.col("promo_active") == 1, F.col("promo_active") == 0
     df = with_stats(
         df,
         [*scope, *GROUP],
+        source,
         _on=F.avg(F.when(on, F.col("net_sales"))),
         _off=F.avg(F.when(off, F.col("net_sales"))),
     )
@@ -70,7 +72,7 @@ def promo_effectiveness(df: DataFrame, scope=()) -> DataFrame:
     ).drop("_on", "_off")
 
 
-def distinct_promos_30d(df: DataFrame, scope=()) -> DataFrame:
+def distinct_promos_30d(df: DataFrame, scope=(), source=None) -> DataFrame:
     """Distinct promotion ids of the group in the last 30 calendar days.
 
     Works on the distinct (group, day, promotion) rows. A promotion seen on a day
@@ -80,7 +82,7 @@ def distinct_promos_30d(df: DataFrame, scope=()) -> DataFrame:
     keys = [*scope, *GROUP]
     day = F.unix_date("sale_date")
     seen = (
-        df.where(F.col("promo_id").isNotNull() & F.col("sale_date").isNotNull())
+        (source or df).where(F.col("promo_id").isNotNull() & F.col("sale_date").isNotNull())
         .select(*keys, "promo_id", day.alias("_day")).distinct()
     )
     by_promo = Window.partitionBy(*keys, "promo_id").orderBy("_day")

@@ -45,17 +45,27 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(lookup(stats), list(keys), "left")
 
 
-def with_stats(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """Add per-group aggregates as columns (partial sums before the shuffle)."""
-    return attach(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()]), keys)
+def with_stats(
+    df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, **aggs: Column
+) -> DataFrame:
+    """Add per-group aggregates as columns (partial sums before the shuffle).
+
+    ``source`` is where the aggregates are computed: an earlier, cheaper form of the
+    same rows when ``df`` has been joined many times since.
+    """
+    stats = (source or df).groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    return attach(df, stats, keys)
 
 
 def _threshold(df: DataFrame, total: int) -> int:
     return max(tuning(df.sparkSession, HOT_ROWS), total // MAX_HOT_GROUPS)
 
 
-def _cut_points(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
+def _cut_points(
+    df: DataFrame, keys: list[str], order: list[str], source: DataFrame | None = None
+) -> DataFrame | None:
     """Positions at which hot groups are cut: one row per hot group, or None."""
+    df = source or df
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total, biggest = sizes.agg(F.sum("_n"), F.max("_n")).first()
     limit = _threshold(df, total or 0)
@@ -91,12 +101,16 @@ def _piece_number(order: list[str]) -> Column:
 
 
 def _pieces(
-    df: DataFrame, keys: list[str], order: list[str], size_known: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    size_known: int | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame | None:
     """Rows with ``_piece`` and ``_hot``; None when every group is small enough."""
     if size_known is not None and size_known <= tuning(df.sparkSession, HOT_ROWS):
         return None
-    cuts = _cut_points(df, keys, order)
+    cuts = _cut_points(df, keys, order, source)
     if cuts is None:
         return None
     marked = df.join(F.broadcast(cuts), keys, "left")
@@ -114,14 +128,16 @@ def ordered(
     apply: Callable[[DataFrame, Window], DataFrame],
     halo: int,
     carry: dict[str, str] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Run ``apply(rows, window)`` for windows that look back at most ``halo`` rows.
 
     ``carry`` maps a new column to a source column: the last non-null source value
-    of earlier pieces of the group, for look-back without a row limit.
+    of earlier pieces of the group, for look-back without a row limit. Group sizes
+    are taken from ``source`` when given (same rows, cheaper to read).
     """
     keys, order, carry = list(keys), list(order), carry or {}
-    parts = _pieces(df, keys, order)
+    parts = _pieces(df, keys, order, source=source)
     if parts is None:
         for name, source in carry.items():
             df = df.withColumn(name, F.lit(None).cast(df.schema[source].dataType))
@@ -213,7 +229,7 @@ def quantiles(
     if size <= tuning(df.sparkSession, HOT_ROWS):
         placed = placed.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
     else:
-        placed = with_stats_from(placed, counts, by, _n=F.sum("_c"))
+        placed = with_stats(placed, by, counts, _n=F.sum("_c"))
     first = F.col("_upto") - F.col("_c")
 
     def pick(q: float) -> Column:
@@ -228,13 +244,6 @@ def quantiles(
     return result if keys else result.drop("_all")
 
 
-def with_stats_from(
-    df: DataFrame, source: DataFrame, keys: Sequence[str], **aggs: Column
-) -> DataFrame:
-    """``with_stats`` with the aggregates taken from another table."""
-    return attach(df, source.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()]), keys)
-
-
 def average_rank(value: str, keys: Sequence[str] = ()) -> Column:
     """Rank over n with ties sharing their average rank.
 

@@ -98,9 +98,11 @@ def clip_target(c: Column, limit: float | None) -> Column:
     return F.when(c > limit, limit).otherwise(not_negative(c))
 
 
-def winsorize_target(df: DataFrame, target: str = "net_sales", q: float = 0.995) -> DataFrame:
+def winsorize_target(
+    df: DataFrame, target: str = "net_sales", q: float = 0.995, source: DataFrame | None = None
+) -> DataFrame:
     """Clip the target to [0, q-quantile]."""
-    limit = upper_limit(df, target, q)
+    limit = upper_limit(source or df, target, q)
     return df.withColumn(target, clip_target(F.col(target), limit))
 
 

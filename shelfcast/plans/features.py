@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import ratio
+from shelfcast.functions.columns import cyclic, ratio
 from shelfcast.operators import dates, history, pricing, promo, stores, target
-from shelfcast.operators.skew import attach, ordered, quantiles, with_stats
+from shelfcast.operators.skew import ordered, with_stats
 from shelfcast.schema import GROUP, ORDER
 
 # Columns computed from the row's own target: reports only, never model input.
@@ -23,9 +23,7 @@ OWN_TARGET = [
 
 
 def _row_features(df: DataFrame, holidays: DataFrame, promotions: DataFrame, scope) -> DataFrame:
-    df = pricing.discount(df)
-    df = dates.calendar(df)
-    df = dates.days_since_start(df, scope)
+    df = dates.days_since_start(dates.calendar(pricing.discount(df)), scope, df)
     df = promo.promo_lookup(df, promotions)
     return dates.holiday_distance(df, holidays)
 
@@ -38,19 +36,23 @@ def wide_features(
     exclude_current: bool = False,
     y: str = "net_sales",
 ) -> DataFrame:
-    """About a hundred columns. ``exclude_current`` keeps the row's own target out of windows."""
-    scope = list(scope)
+    """About a hundred columns. ``exclude_current`` keeps the row's own target out of windows.
+
+    Group statistics are read from ``df`` as given, so pass a written table.
+    """
+    scope, source = list(scope), pricing.discount(df)
     df = _row_features(df, holidays, promotions, scope)
     df = dates.sale_season(dates.month_edges(dates.cyclic_time(df)))
     df = dates.holiday_distance_by_type(df, holidays)
 
     price, sales = F.col("price"), F.col(y)
     df = with_stats(
-        df, [*scope, "sku"], _price=F.avg("price"), sku_mean_discount=F.avg("discount_real")
+        df, [*scope, "sku"], source,
+        _price=F.avg("price"), sku_mean_discount=F.avg("discount_real"),
     )
     df = df.withColumn("price_vs_sku_mean", ratio(price, F.col("_price"), 1)).drop("_price")
     df = with_stats(
-        df, [*scope, "store_id", "sale_date"],
+        df, [*scope, "store_id", "sale_date"], source,
         _price=F.avg("price"), promos_in_store_day=F.sum("promo_active"),
         store_day_sales=F.sum(y),
     )
@@ -60,13 +62,13 @@ def wide_features(
             "store_day_share": ratio(sales, F.col("store_day_sales"), 0),
         }
     ).drop("_price")
-    df = promo.promo_effectiveness(df, scope)
-    df = stores.weighed_group_mean(df, scope)
-    df = stores.weighed_price_ratio(df, scope)
-    df = stores.weighed_quantile_scale(df, scope)
-    df = stores.store_rank(df, scope)
-    df = stores.sku_day_relative(df, scope)
-    df = history.with_median(df, [*scope, "sku"], y, "_median")
+    df = promo.promo_effectiveness(df, scope, source)
+    df = stores.weighed_group_mean(df, scope, source)
+    df = stores.weighed_price_ratio(df, scope, source)
+    df = stores.weighed_quantile_scale(df, scope, source)
+    df = stores.store_rank(df, scope, source)
+    df = stores.sku_day_relative(df, scope, source)
+    df = history.with_median(df, [*scope, "sku"], y, "_median", source)
 
     def by_group(d: DataFrame, w) -> DataFrame:
         d = history.lag_columns(d, w, history.LAGS_WIDE, y, "_median")
@@ -77,8 +79,9 @@ def wide_features(
         d = history.slope_columns(d, w, y, exclude_current)
         return promo.recent_promo_columns(pricing.price_change_columns(d, w), w)
 
-    df = ordered(df, [*scope, *GROUP], ORDER, by_group, 91, {"_price_before": "price"})
-    df = history.yoy_change(promo.promo_share_30(df.drop("_median"), scope), y, scope)
+    carry = {"_price_before": "price"}
+    df = ordered(df, [*scope, *GROUP], ORDER, by_group, 91, carry, source).drop("_median")
+    df = history.yoy_change(promo.promo_share_30(df, scope, source), y, scope, source)
     return target.cross_features(history.trend_diff(df))
 
 
@@ -91,14 +94,14 @@ def lean_features(
     y: str = "net_sales",
 ) -> DataFrame:
     """The smaller feature set used for scoring cases with their history."""
-    scope = list(scope)
+    scope, source = list(scope), df
     df = _row_features(df, holidays, promotions, scope)
-    sin, cos = dates.C.cyclic(F.col("day_of_year"), 365)
+    sin, cos = cyclic(F.col("day_of_year"), 365)
     df = df.withColumns({"sin_day": sin, "cos_day": cos})
-    df = with_stats(df, [*scope, "sku"], sku_mean=F.avg(y), _price=F.avg("price"))
+    df = with_stats(df, [*scope, "sku"], source, sku_mean=F.avg(y), _price=F.avg("price"))
     df = df.withColumn("price_dev_sku", F.col("price") - F.col("_price")).drop("_price")
     keys = [*scope, *GROUP]
-    df = attach(df, quantiles(df, keys, y, {"_median": 0.5}), keys)
+    df = history.with_median(df, keys, y, "_median", source)
 
     def by_group(d: DataFrame, w) -> DataFrame:
         d = history.lag_columns(d, w, history.LAGS_LEAN, y, "_median")
@@ -110,8 +113,8 @@ def lean_features(
             exclude_current,
         )
 
-    df = ordered(df, keys, ORDER, by_group, 91).drop("_median")
-    return history.trend_diff(promo.distinct_promos_30d(df, scope))
+    df = ordered(df, keys, ORDER, by_group, 91, source=source).drop("_median")
+    return history.trend_diff(promo.distinct_promos_30d(df, scope, source))
 
 
 LEAN_FEATURES = [

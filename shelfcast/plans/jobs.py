@@ -47,8 +47,9 @@ VALIDATION_DAYS = 30
 
 def model_frame(loaded: DataFrame, holidays: DataFrame, promotions: DataFrame) -> DataFrame:
     """Features without the row's own target, written once before any fitting."""
+    loaded = settle(loaded, "loaded")
     features = wide_features(loaded, holidays, promotions, exclude_current=True)
-    return settle(winsorize_target(features), "frame")
+    return settle(winsorize_target(features, source=loaded), "frame")
 
 
 def wide_feature_lists(frame: DataFrame) -> tuple[list[str], list[str]]:
@@ -106,8 +107,9 @@ def fit_lean(frame: DataFrame, target: str = "net_sales", params: dict | None =
 
 
 def lean_frame(loaded: DataFrame, holidays: DataFrame, promotions: DataFrame) -> DataFrame:
+    loaded = settle(loaded, "loaded")
     features = lean_features(loaded, holidays, promotions, exclude_current=True)
-    return settle(winsorize_target(features, q=0.99), "lean")
+    return settle(winsorize_target(features, q=0.99, source=loaded), "lean")
 
 
 # ---- future forecast ---------------------------------------------------------
@@ -124,7 +126,7 @@ def forecast_future(
     attributes = last_attributes(loaded, ["price", "base_price", "weighed"])
     grid = future_grid(loaded, days).join(attributes, "sku", "left").withColumn("promo_id", F.lit(0))
     grid = join_promotions(join_holidays(grid, holidays), promotions)
-    rows = union_history_future(loaded, grid)
+    rows = settle(union_history_future(loaded, grid), "rows")
     features = wide_features(rows, holidays, promotions, exclude_current=True)
     scored = model.predict(future_rows(features, last))
     return scored.select(
@@ -158,7 +160,7 @@ def case_features(
     """Lean features of every case, computed on the case and its own history only."""
     full = complete_cases(cases, holidays, promotions).withColumn("_is_case", F.lit(True))
     past = batch_history(cases, loaded, days).withColumn("_is_case", F.lit(False))
-    rows = union_history_future(past, full)
+    rows = settle(union_history_future(past, full), "cases")
     features = lean_features(rows, holidays, promotions, scope=["case_id"], exclude_current=True)
     return features.where("_is_case").drop("_is_case")
 

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.sources.load import load, spread
+from shelfcast.sources.load import load
 
 PROMOTION_ROWS = [
     "(5, 'discount', 'Нет', CAST(5 AS DOUBLE), DATE '1995-01-01', DATE '1997-12-31')",
@@ -64,8 +64,7 @@ class Retail:
             F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
         )
         return (
-            spread(self.table("lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
-            .join(part, "l_partkey").join(supplier, "l_suppkey")
+            self.table("lineitem").join(part, "l_partkey").join(supplier, "l_suppkey")
             .withColumns(
                 {
                     "sku": F.col("p_brand"),
@@ -78,9 +77,10 @@ class Retail:
     @cached_property
     def sales(self) -> DataFrame:
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        cents = F.round(F.col("l_extendedprice") * 100)
-        tenth = -F.round(F.col("l_extendedprice") * 10)
-        discounted = F.round(F.col("l_extendedprice") * 100 * (1 - F.col("l_discount")))
+        whole = lambda c: F.floor(c + 0.5).cast("double")
+        cents = whole(F.col("l_extendedprice") * 100)
+        tenth = -whole(F.col("l_extendedprice") * 10)
+        discounted = whole(F.col("l_extendedprice") * 100 * (1 - F.col("l_discount")))
         return self._lines().join(orders, "l_orderkey", "left").select(
             F.col("l_orderkey").alias("receipt_id"),
             F.col("l_partkey").alias("line_part"),
@@ -91,7 +91,7 @@ class Retail:
             cents.alias("base_price"),
             F.when((F.col("l_orderkey") + F.col("l_partkey")) % 50 == 0, tenth)
             .otherwise(discounted).alias("price"),
-            F.when(F.col("l_discount") >= 0.045, F.round(F.col("l_discount") * 100).cast("int"))
+            F.when(F.col("l_discount") >= 0.045, whole(F.col("l_discount") * 100).cast("int"))
             .otherwise(0).alias("promo_id"),
             F.when(F.col("l_tax") >= 0.055, F.lit("CODE")).alias("promo_code"),
             F.when(F.col("o_custkey") % 4 == 0, F.lit("  "))

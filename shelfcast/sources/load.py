@@ -28,15 +28,6 @@ def read_table(spark: SparkSession, path: str, schema, fmt: str = "csv") -> Data
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Deal rows out by ``by`` when the files give fewer read tasks than there are cores.
-
-    A large table has many more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_promotions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return parse_promotions(read_table(spark, path, S.PROMOTIONS_TEXT, fmt))
 
@@ -74,10 +65,9 @@ def join_returns(sales: DataFrame, returns: DataFrame) -> DataFrame:
     No separate filter on existing receipts: a return without a sale meets no row of
     a left join from the sales.
     """
-    return (
-        sales.join(sum_returns(returns), RETURN_KEY, "left")
-        .withColumn("returned_qty", F.coalesce("returned_qty", F.lit(0.0)))
-        .withColumn("net_sales", F.col("quantity") - F.col("returned_qty"))
+    returned = F.coalesce("returned_qty", F.lit(0.0))
+    return sales.join(sum_returns(returns), RETURN_KEY, "left").withColumns(
+        {"returned_qty": returned, "net_sales": F.col("quantity") - returned}
     )
 
 
