@@ -65,10 +65,12 @@ def rolling_columns(
     name = lambda stat, n: f"{names.get(stat, stat)}_{n}"
     plain = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "count": F.count}
     out: dict[str, Column] = {}
+    # The sorted values kept for medians also give the extremes.
+    from_sorted = {"median", "max", "min"} if "median" in stats else set()
     for n in windows:
         frame = _frame(w, n, exclude_current)
         for stat in stats:
-            if stat in plain:
+            if stat in plain and stat not in from_sorted:
                 out[name(stat, n)] = plain[stat](target).over(frame)
             elif stat == "std":
                 out[name(stat, n)] = F.coalesce(F.stddev_samp(target).over(frame), F.lit(0.0))
@@ -82,8 +84,12 @@ def rolling_columns(
     if "median" in stats:
         for n in windows:
             d = d.withColumn(f"_sorted_{n}", _sorted_last(F.col("_recent"), n))
+        picks = {"median": _middle, "max": _highest, "min": _lowest}
         d = d.withColumns(
-            {name("median", n): _middle(F.col(f"_sorted_{n}"), F.col(f"_known_{n}")) for n in windows}
+            {
+                name(stat, n): picks[stat](F.col(f"_sorted_{n}"), F.col(f"_known_{n}"))
+                for n in windows for stat in stats if stat in from_sorted
+            }
         ).drop("_recent", *[f"{c}_{n}" for n in windows for c in ("_known", "_sorted")])
     return d
 
@@ -99,6 +105,14 @@ def _middle(values: Column, known: Column) -> Column:
     return (F.get(values, low) + F.get(values, high)) / 2
 
 
+def _highest(values: Column, known: Column) -> Column:
+    return F.get(values, (known - 1).cast("int"))
+
+
+def _lowest(values: Column, known: Column) -> Column:
+    return F.get(values, F.when(known > 0, 0).otherwise(-1))
+
+
 def rolling(
     df: DataFrame,
     windows: Sequence[int],

@@ -104,8 +104,9 @@ def distinct_promos_30d(df: DataFrame, scope=(), source=None) -> DataFrame:
             )
         ),
     )
-    daily = steps.groupBy(*keys, "_day").agg(F.sum("_step").alias("_step"))
-    # One row per calendar day and group at most, so a plain window is bounded.
+    # A group has at most one row per day and promotion here, so it is bounded by the
+    # calendar; one shuffle by group serves the daily sums and the window.
+    daily = steps.repartition(*keys).groupBy(*keys, "_day").agg(F.sum("_step").alias("_step"))
     so_far = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
     open_runs = daily.select(
         *keys,

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import log_target, not_negative
-from shelfcast.operators.skew import lookup, quantiles
-from shelfcast.settings import settle
+from shelfcast.operators.skew import quantiles
+from shelfcast.settings import MAX_BROADCAST_ROWS, settle, settle_counted, tuning
 
 ENCODED = ("sku", "store_id", "promo_type", "weekday", "month", "weighed")
 
@@ -57,7 +57,8 @@ def encoding_tables(
     means = train.groupingSets(sets, *features).agg(
         F.avg(target).alias("_mean"), F.grouping_id(*features).alias("_set")
     )
-    means = settle(means, "encodings")
+    means, rows = settle_counted(means, "encodings")
+    small = rows <= tuning(train.sparkSession, MAX_BROADCAST_ROWS)
     codes = {f: 2 ** len(features) - 1 - 2 ** (len(features) - 1 - i) for i, f in enumerate(features)}
     tables = {
         f: means.where((F.col("_set") == codes[f]) & F.col(f).isNotNull()).select(
@@ -66,6 +67,7 @@ def encoding_tables(
         for f in features
     }
     overall = means.where(F.col("_set") == 2 ** len(features) - 1).first()
+    tables = {f: F.broadcast(t) if small else t for f, t in tables.items()}
     return tables, overall["_mean"] if overall else None
 
 
@@ -84,7 +86,7 @@ def target_encoding(
 def apply_encoding(df: DataFrame, tables: dict[str, DataFrame], overall: float | None) -> DataFrame:
     for feature, table in tables.items():
         name = f"{feature}_target_mean"
-        df = df.join(lookup(table), feature, "left")
+        df = df.join(table, feature, "left")
         df = df.withColumn(name, F.coalesce(F.col(name), F.lit(overall).cast("double")))
     return df
 
