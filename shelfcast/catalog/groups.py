@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog.base import ID, ORD, W, Query
 from shelfcast.operators import frames, history, pricing, promo, quality, stores, summary, target
 from shelfcast.operators.dates import holiday_distance
+from shelfcast.settings import settle
 from shelfcast.sources import load
 
 
@@ -100,6 +101,43 @@ def _folds_sql(folds: int) -> str:
       FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {ORD}) - 1 AS row_index FROM loaded) t"""
 
 
+def _wide(r):
+    from shelfcast.plans.features import wide_features
+
+    return wide_features(settle(r.loaded), r.holidays, r.promotions)
+
+
+def _lean(r):
+    from shelfcast.plans.features import lean_features
+
+    return lean_features(settle(r.loaded), r.holidays, r.promotions)
+
+
+WIDE_SQL = f"""SELECT *, ISODOW(sale_date) - 1 AS weekday,
+  COALESCE(price / NULLIF({_avg('price', 'sku')}, 0), 1) AS price_vs_sku_mean,
+  price - {_avg('price', 'store_id, sale_date')} AS price_dev_store_day,
+  COALESCE(price / NULLIF(LAG(price) OVER ({W}), 0) - 1, 0) AS price_change,
+  CAST(SUM(promo_active) OVER (PARTITION BY store_id, sale_date) AS BIGINT) AS promos_in_store_day,
+  AVG(promo_active) OVER (PARTITION BY sku ORDER BY store_id, {ORD}
+    ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS promo_share_30,
+  COALESCE(LAG(net_sales, 30) OVER ({W}), MEDIAN(net_sales) OVER (PARTITION BY sku)) AS lag_30,
+  AVG(net_sales) {_frame(14)} AS ma_14, MEDIAN(net_sales) {_frame(30)} AS median_30,
+  MAX(net_sales) {_frame(90)} AS max_90, MIN(net_sales) {_frame(7)} AS min_7,
+  COALESCE(STDDEV_SAMP(net_sales) {_frame(30)}, 0) AS std_30,
+  AVG(net_sales) {_frame(7)} - AVG(net_sales) {_frame(30)} AS trend_7_30,
+  COALESCE(net_sales / NULLIF({_avg('net_sales', 'sku, sale_date')}, 0), 1) AS sku_day_relative,
+  sku || '_' || store_id AS sku_store
+  FROM loaded JOIN near_holidays USING (sale_date)"""
+LEAN_SQL = f"""SELECT *, {_avg('net_sales', 'sku')} AS sku_mean,
+  price - {_avg('price', 'sku')} AS price_dev_sku,
+  COALESCE(LAG(net_sales, 14) OVER ({W}), MEDIAN(net_sales) OVER (PARTITION BY sku, store_id)) AS lag_14,
+  AVG(net_sales) {_frame(90)} AS ma_90, SUM(net_sales) {_frame(30)} AS rolling_sum_30,
+  MEDIAN(net_sales) {_frame(7)} AS rolling_median_7, COUNT(net_sales) {_frame(3)} AS rolling_count_3,
+  CAST(LEN(LIST_DISTINCT(LIST(promo_id) OVER (PARTITION BY sku, store_id ORDER BY sale_date
+    RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW))) AS INT) AS promos_30d
+  FROM loaded JOIN near_holidays USING (sale_date)"""
+
+
 def _trends(r):
     from shelfcast.operators.skew import ordered
 
@@ -346,6 +384,20 @@ QUERIES = {
         lambda r: history.numbered(r.sales).orderBy("sku", "store_id", "position"), f"{ID} position",
         f"SELECT *, ROW_NUMBER() OVER ({W}) AS position FROM sales",
     ),
+    # ---- whole feature sets ----
+    "wide_features": Query(
+        _wide,
+        f"{ID} weekday days_to_holiday price_vs_sku_mean~6 price_dev_store_day~4 price_change~6 "
+        "promos_in_store_day promo_share_30~6 lag_30~6 ma_14~6 median_30~6 max_90~6 min_7~6 std_30~6 "
+        "trend_7_30~6 sku_day_relative~6 sku_store",
+        WIDE_SQL,
+    ),
+    "lean_features": Query(
+        _lean,
+        f"{ID} days_since_holiday sku_mean~6 price_dev_sku~4 lag_14~6 ma_90~6 rolling_sum_30~6 "
+        "rolling_median_7~6 rolling_count_3 promos_30d",
+        LEAN_SQL,
+    ),
     # ---- target ----
     "winsorize_target": Query(
         lambda r: target.winsorize_target(r.loaded), f"{ID} net_sales~6", "SELECT * FROM clipped",

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.skew import attach, lookup, running_sum
+from shelfcast.operators.skew import attach, lookup, running_sum, with_stats
 from shelfcast.operators.target import last_date
 from shelfcast.schema import GROUP, ORDER
 
@@ -50,7 +50,12 @@ def union_history_future(history: DataFrame, future: DataFrame) -> DataFrame:
 
 
 def last_attributes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The last known attributes of each SKU (latest row in sales order)."""
+    """The last known attributes of each SKU (latest row in sales order).
+
+    The last date is found first: rows of that date only, not all rows, go through
+    the comparison of whole row positions.
+    """
+    df = with_stats(df, ["sku"], _last=F.max("sale_date")).where(F.col("sale_date") == F.col("_last"))
     latest = F.max_by(F.struct(*columns), F.struct(*ORDER))
     return df.groupBy("sku").agg(latest.alias("a")).select("sku", "a.*")
 

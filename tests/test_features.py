@@ -190,3 +190,21 @@ def test_batch_history_window(spark, retail):
     one = frames.history_tail(retail.loaded, "Brand#2", "S3", dt.date(2000, 6, 1), 90)
     assert frames.batch_history(cases, retail.loaded, 90).count() == one.count()
     assert set(GROUP) <= set(one.columns)
+
+
+def test_last_attributes(retail):
+    got = frames.last_attributes(retail.loaded, ["price", "quantity"]).toPandas().set_index("sku")
+    pdf = retail.loaded.toPandas().sort_values(ORDER).groupby("sku").tail(1).set_index("sku")
+    assert (got["price"].sort_index() == pdf["price"].sort_index()).all()
+
+
+def test_wide_features_sort_groups_once(spark, retail):
+    from shelfcast.plans.features import wide_features
+
+    loaded = settle(retail.loaded, "loaded")
+    df = wide_features(loaded, retail.holidays, retail.promotions)
+    assert df.count() == loaded.count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # One sort each for (sku, store), for the SKU's rows over stores, and for the day of the year.
+    by_order = [line for line in plan.splitlines() if "Sort [" in line and "sale_date" in line]
+    assert len(by_order) == 3
