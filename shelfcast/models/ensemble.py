@@ -134,23 +134,22 @@ def weighted(members: Sequence[str], weights: Sequence[float]) -> Column:
 
 
 def ensemble_weights(df: DataFrame, truth: str, members: Sequence[str]) -> DataFrame:
-    """RMSE of every weighting: one aggregate each, all in one pass over the rows."""
-    grid = weight_grid()
-    errors = [
-        F.sqrt(F.avg(F.pow(F.col(truth) - weighted(members, w), 2))).alias(f"_{i}")
-        for i, w in enumerate(grid)
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                *[F.lit(v).alias(f"w{k + 1}") for k, v in enumerate(w)],
-                F.col(f"_{i}").alias("rmse"),
-            )
-            for i, w in enumerate(grid)
-        ]
-    )
-    return df.agg(*errors).select(F.inline(rows))
+    """RMSE of every weighting, from one pass over the rows.
+
+    Weights sum to 1, so the ensemble's error is the weighted sum of the members'
+    errors, and its square needs only the mean product of every two errors.
+    """
+    errors = [F.col(m) - F.col(truth) for m in members]
+    pairs = [(i, j) for i in range(3) for j in range(i, 3)]
+    products = df.agg(*[F.avg(errors[i] * errors[j]).alias(f"_{i}{j}") for i, j in pairs])
+    rows = []
+    for position, w in enumerate(weight_grid()):
+        terms = [f"{(1 if i == j else 2) * w[i] * w[j]!r}D * _{i}{j}" for i, j in pairs]
+        rows.append(
+            f"struct({position} AS position, {w[0]!r}D AS w1, {w[1]!r}D AS w2, {w[2]!r}D AS w3, "
+            f"sqrt(greatest(0D, {' + '.join(terms)})) AS rmse)"
+        )
+    return products.select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def best_weights(table: DataFrame) -> tuple[float, float, float]:
