@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from shelfcast.llm import words as W
 
 # Words of a minimiser.
-MINIMISER = 8
+MINIMISER = 5
 BASE_M, BASE_W = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 # Strings of one minimiser from which it is hot, and how many minimisers can be (the most
 # frequent ones; what is left has at most a millionth of all strings per minimiser).
@@ -87,7 +87,7 @@ def _packed(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFr
     """(bucket, data): compressed strings for one bucket from one stretch of the input."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, held, weight = zstandard.ZstdCompressor(level=1), [], 0
+        press, held, weight = zstandard.ZstdCompressor(level=3), [], 0
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, b, block in W.blocks(batch.column(2)):
@@ -111,12 +111,12 @@ def _packed(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFr
 
 
 def _deal(held: list[tuple], press: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: its strings and their places, equal strings next to each other."""
+    """One row per bucket: its strings and their places, with rows and places as differences."""
     bucket, route, row, tag, place, number = (np.concatenate([h[k] for h in held]) for k in range(6))
     part = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
     begin, stop = np.concatenate([h[7] for h in held]), np.concatenate([h[8] for h in held])
     whole = [h[6].tobytes() for h in held]
-    order = np.lexsort((route, bucket))
+    order = np.argsort(bucket, kind="stable")
     cut = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
     keys, datas, size = [], [], 0
     for a, b in zip(cut, cut[1:]):
@@ -131,7 +131,7 @@ def _deal(held: list[tuple], press: zstandard.ZstdCompressor) -> Iterator[pa.Rec
         count = np.empty(len(strings), np.int32)
         count[index] = number[mine]
         data = b"".join(
-            [head.tobytes(), lengths.tobytes(), count.tobytes(), index.tobytes(), row[mine].astype(np.int64).tobytes(), tag[mine].astype(np.int32).tobytes(), place[mine].astype(np.int32).tobytes(), *strings]
+            [head.tobytes(), lengths.tobytes(), count.tobytes(), index.tobytes(), np.diff(row[mine].astype(np.int64), prepend=np.int64(0)).tobytes(), tag[mine].astype(np.int32).tobytes(), np.diff(place[mine].astype(np.int32), prepend=np.int32(0)).tobytes(), *strings]
         )
         keys.append(int(bucket[mine[0]]))
         datas.append(press.compress(data))
@@ -153,7 +153,7 @@ def _open(data: bytes, press: zstandard.ZstdDecompressor) -> tuple:
         at += count * np.dtype(kind).itemsize
     lengths, number, index, row, tag, place = fields
     ends = (np.cumsum(lengths) + at).tolist()
-    return [data[e - n : e] for e, n in zip(ends, lengths.tolist())], number, index, row, tag, place
+    return [data[e - n : e] for e, n in zip(ends, lengths.tolist())], number, index, np.cumsum(row), tag, np.cumsum(place, dtype=np.int32)
 
 
 def repeated_windows(parts: list[tuple], size: int) -> tuple[np.ndarray, ...]:
