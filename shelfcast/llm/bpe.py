@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,26 +19,57 @@ from shelfcast.llm import chunks as C
 from shelfcast.llm import tokens
 
 
+# Text bytes per bucket of distinct words (a bucket's words of all chunks are in memory at once).
+BUCKET_BYTES = 16 << 20
+
+
 def word_table(rows: DataFrame, path: str) -> DataFrame:
-    """(chunk, code, ids) for word rows: ids of every distinct word, encoded once."""
+    """(chunk, bucket, ids) for packed words: each distinct word of a bucket is encoded once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_ids = None, None
+        last, held = None, []
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            new = [k for k, w in enumerate(words) if w != (words[k - 1] if k else last)]
-            ids = tokens.encode_words(path, [words[k] for k in new])
-            if not new or new[0]:
-                new, ids = [0, *new], [last_ids, *ids]
-            lengths = np.array([len(x) for x in ids])
-            index = np.repeat(np.arange(len(new)), np.diff([*new, len(words)]))
-            distinct = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(np.concatenate(ids).view(np.int32))
-            )
-            last, last_ids = words[-1], ids[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), distinct.take(pa.array(index))], ["chunk", "code", "ids"])
-
-    return C.by_word(rows).select("word", "chunk", "code").mapInArrow(encode, "chunk long, code int, ids array<int>")
+            for bucket, chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if bucket != last and held:
+                    yield from encode_bucket(last, held)
+                    held = []
+                last = bucket
+                held.append((chunk, C.unpack_words(data.as_py())))
+        if held:
+            yield from encode_bucket(last, held)
+
+    def encode_bucket(bucket: int, held: list[tuple[int, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        table = {w: i for i, w in enumerate(dict.fromkeys(w for _, words in held for w in words))}
+        ids = tokens.encode_words(path, list(table))
+        length = np.array([len(x) for x in ids])
+        flat = np.concatenate(ids)
+        start = np.cumsum(length) - length
+        for chunk, words in held:
+            slot = np.array([table[w] for w in words])
+            n = length[slot]
+            stop = np.cumsum(n)
+            take = np.arange(int(stop[-1])) + np.repeat(start[slot] - (stop - n), n)
+            data = press.compress(np.int64(len(words)).tobytes() + C.planes(n) + C.planes(flat[take]))
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([bucket]), pa.array([data], pa.binary())], ["chunk", "bucket", "ids"])
+
+    dealt = rows.repartition(F.col("bucket")).sortWithinPartitions("bucket")
+    return dealt.mapInArrow(encode, "chunk long, bucket long, ids binary")
+
+
+def _open_ids(right: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all distinct words of a chunk, in the order of their codes, and their bounds."""
+    order = np.argsort(right.column("bucket").to_numpy()).tolist()
+    column, lengths, ids = right.column("ids"), [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+    for k in order:
+        data = zstandard.ZstdDecompressor().decompress(column[k].as_py())
+        count = int(np.frombuffer(data, np.int64, 1)[0])
+        lengths.append(C.from_planes(data, count, 8))
+        ids.append(C.from_planes(data, (len(data) - 8) // 4 - count, 8 + 4 * count))
+    lengths = np.concatenate(lengths).astype(np.int64)
+    if len(lengths) != words:
+        raise RuntimeError("a chunk was read differently the second time; write the documents to a table first")
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum(lengths)])
 
 
 class Pieces:
@@ -83,9 +115,7 @@ def encode(
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         codes, counts, columns, words = C.open_codes(left)
-        lists = C.answers(right, "ids", words)
-        flat, bounds = lists.flatten().to_numpy().view(np.uint32), lists.offsets.to_numpy().astype(np.int64)
-        bounds = bounds - bounds[0] if len(bounds) else np.zeros(1, np.int64)
+        flat, bounds = _open_ids(right, words)
         ends = np.concatenate([[0], np.cumsum(counts)])
         outs: list[list] = [[], [], []]
         row = 0
@@ -117,7 +147,10 @@ def encode(
 
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["id", "n_tokens", "ids", "decoded"]
     kinds = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "id long, n_tokens long, ids array<int>, decoded string"
-    return C.join_back(C.code_rows(rows, splitter), word_table(C.word_rows(rows, splitter), path), finish, kinds)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    table = word_table(C.packed_words(rows, splitter, buckets), path)
+    return C.join_back(C.code_rows(rows, splitter, buckets=buckets), table, finish, kinds)
 
 
 def _decimal(ids: np.ndarray):

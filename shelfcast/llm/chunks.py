@@ -14,7 +14,6 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shelfcast.llm import words as W
 
@@ -48,6 +47,11 @@ class Chunk:
         self.columns.append(columns)
         self.size += len(block.data)
 
+    def by_bucket(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket of every distinct word, and the words' order by bucket (then by first use)."""
+        bucket = (np.fromiter(self.seen, np.uint64, len(self.seen)) % np.uint64(buckets)).astype(np.int64)
+        return bucket, np.argsort(bucket, kind="stable")
+
     def read(self) -> tuple[np.ndarray, np.ndarray, pa.Table]:
         """Codes, words per text, and the rows' other columns."""
         return np.concatenate(self.codes), np.concatenate(self.counts), pa.Table.from_batches(self.columns)
@@ -95,14 +99,61 @@ def word_rows(docs: DataFrame, splitter: Splitter, lower: bool = False, train_co
     return docs.mapInArrow(emit, "word binary, chunk long, code int, n long")
 
 
-def code_rows(docs: DataFrame, splitter: Splitter, lower: bool = False) -> DataFrame:
+def planes(values: np.ndarray) -> bytes:
+    """32-bit integers as four byte planes, which compress better."""
+    return np.ascontiguousarray(values.astype(np.uint32, copy=False).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes, count: int, at: int = 0) -> np.ndarray:
+    flat = np.frombuffer(data, np.uint8, 4 * count, at)
+    return np.ascontiguousarray(flat.reshape(4, count).T).view(np.uint32).ravel() if count else np.zeros(0, np.uint32)
+
+
+def packed_words(docs: DataFrame, splitter: Splitter, buckets: int, lower: bool = False) -> DataFrame:
+    """(bucket, chunk, words): every chunk's distinct words packed per bucket of their hashes."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for number, chunk in chunks(batches, splitter, lower):
+            bucket, order = chunk.by_bucket(buckets)
+            cut = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)).tolist()
+            keys, data = [], []
+            for a, b in zip(cut, cut[1:]):
+                words = [chunk.words[k] for k in order[a:b].tolist()]
+                lengths = planes(np.array([len(w) for w in words]))
+                keys.append(int(bucket[order[a]]))
+                data.append(press.compress(b"".join([np.int64(len(words)).tobytes(), lengths, *words])))
+            for k in range(0, len(keys), OUT_ROWS):
+                part = slice(k, k + OUT_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[part], pa.int64()), pa.array([number] * len(keys[part]), pa.int64()), pa.array(data[part], pa.binary())],
+                    ["bucket", "chunk", "words"],
+                )
+
+    return docs.mapInArrow(emit, "bucket long, chunk long, words binary")
+
+
+def unpack_words(data: bytes) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    ends = (np.cumsum(from_planes(data, count, 8).astype(np.int64)) + 8 + 4 * count).tolist()
+    return [data[a:b] for a, b in zip([8 + 4 * count, *ends], ends)]
+
+
+def code_rows(docs: DataFrame, splitter: Splitter, lower: bool = False, buckets: int = 0) -> DataFrame:
     """(chunk, words, rows, codes): one row per chunk; ``rows`` is an Arrow stream of the other
-    columns with the number of words of each row."""
+    columns with the number of words of each row. With ``buckets``, codes follow the words' order
+    by bucket, so that packed answers need no codes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for number, chunk in chunks(batches, splitter, lower):
             codes, counts, columns = chunk.read()
+            if buckets:
+                _, order = chunk.by_bucket(buckets)
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order))
+                codes = place[codes]
             columns = columns.append_column("_words", pa.array(counts.astype(np.int64)))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, columns.schema) as out:
@@ -112,8 +163,7 @@ def code_rows(docs: DataFrame, splitter: Splitter, lower: bool = False) -> DataF
                     pa.array([number], pa.int64()),
                     pa.array([len(chunk.words)], pa.int64()),
                     pa.array([press.compress(sink.getvalue().to_pybytes())], pa.binary()),
-                    # Byte planes compress better than whole integers.
-                    pa.array([press.compress(codes.view(np.uint8).reshape(-1, 4).T.tobytes())], pa.binary()),
+                    pa.array([press.compress(planes(codes))], pa.binary()),
                 ],
                 ["chunk", "words", "rows", "codes"],
             )
@@ -124,8 +174,8 @@ def code_rows(docs: DataFrame, splitter: Splitter, lower: bool = False) -> DataF
 def open_codes(left: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table, int]:
     """Codes, words per row, the rows' columns and the number of distinct words of a chunk."""
     open_ = zstandard.ZstdDecompressor()
-    planes = np.frombuffer(open_.decompress(left.column("codes")[0].as_py()), np.uint8)
-    codes = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.int32).ravel() if len(planes) else np.zeros(0, np.int32)
+    data = open_.decompress(left.column("codes")[0].as_py())
+    codes = from_planes(data, len(data) // 4).view(np.int32)
     columns = pa.ipc.open_stream(open_.decompress(left.column("rows")[0].as_py())).read_all()
     counts = columns.column("_words").to_numpy()
     return codes, counts, columns.drop_columns(["_words"]), left.column("words")[0].as_py()
@@ -148,8 +198,3 @@ def join_back(codes: DataFrame, resolved: DataFrame, finish: Callable[[pa.Table,
         return finish(left, right)
 
     return codes.groupBy("chunk").cogroup(resolved.groupBy("chunk")).applyInArrow(run, schema)
-
-
-def by_word(rows: DataFrame) -> DataFrame:
-    """Rows of one word together and in order; a word has one row per chunk."""
-    return rows.repartition(F.col("word")).sortWithinPartitions("word")
