@@ -187,17 +187,25 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         kind = C.answers(right, "class", distinct).to_numpy()
         base = np.log10((c + ADD) / whole)
         inner = np.where(kind == OTHER, np.log10((c + ADD) / rest), 0.0)
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        owner = np.repeat(np.arange(len(counts)), counts)
-        add = lambda values: np.bincount(owner, weights=values[codes], minlength=len(counts))
-        end = np.log10((texts + ADD) / whole)
-        base_score = add(base) + end
-        value = base_score
-        if tokens:
-            one, two, token = sequences(kind[codes], bounds)
-            steps = held.value.table[one.astype(np.int64) * (CLASSES + 1) + two, token]
-            value = add(inner) + np.bincount(np.repeat(np.arange(len(counts)), counts + 1), weights=steps, minlength=len(counts))
-        known = add((c > 0).astype(np.float64)).astype(np.int64) + (texts > 0)
+        end, ends = np.log10((texts + ADD) / whole), np.concatenate([[0], np.cumsum(counts)])
+        known_word, parts = (c > 0).astype(np.float64), []
+        row = 0
+        while row < len(counts):
+            # As many texts at a time as hold about half a million words.
+            stop = max(row + 1, int(np.searchsorted(ends, ends[row] + 500_000, "right")) - 1)
+            part, n = codes[ends[row] : ends[stop]], counts[row:stop]
+            owner = np.repeat(np.arange(stop - row), n)
+            add = lambda values: np.bincount(owner, weights=values[part], minlength=stop - row)  # noqa: B023, E731
+            base_score = add(base) + end
+            value = base_score
+            if tokens:
+                one, two, token = sequences(kind[part], ends[row : stop + 1] - ends[row])
+                steps = held.value.table[one.astype(np.int64) * (CLASSES + 1) + two, token]
+                owner_of_token = np.repeat(np.arange(stop - row), n + 1)
+                value = add(inner) + np.bincount(owner_of_token, weights=steps, minlength=stop - row)
+            parts.append((add(known_word).astype(np.int64) + (texts > 0), base_score, value))
+            row = stop
+        known, base_score, value = (np.concatenate(x) for x in zip(*parts))
         columns = columns.combine_chunks()
         return pa.table(
             {
