@@ -32,7 +32,7 @@ LOCAL_HOT = 4
 # Words parted by anything but one space: then equal words need not be equal bytes.
 _ODD_SPACE = re.compile(rb"[\t-\r]|  ")
 # Text bytes packed together before they are dealt to buckets.
-PACK_BYTES = 24 << 20
+PACK_BYTES = 16 << 20
 # Words of strings aimed at per bucket.
 BUCKET_WORDS = 1_500_000
 
@@ -115,13 +115,13 @@ def _deal(held: list[tuple], press: zstandard.ZstdCompressor) -> Iterator[pa.Rec
     bucket, route, row, tag, place, number = (np.concatenate([h[k] for h in held]) for k in range(6))
     part = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
     begin, stop = np.concatenate([h[7] for h in held]), np.concatenate([h[8] for h in held])
-    whole = [h[6].tobytes() for h in held]
+    whole = [memoryview(h[6]) for h in held]
     order = np.argsort(bucket, kind="stable")
     cut = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
     keys, datas, size = [], [], 0
     for a, b in zip(cut, cut[1:]):
         mine = order[a:b]
-        texts = [whole[p][x:y] for p, x, y in zip(part[mine].tolist(), begin[mine].tolist(), stop[mine].tolist())]
+        texts = [bytes(whole[p][x:y]) for p, x, y in zip(part[mine].tolist(), begin[mine].tolist(), stop[mine].tolist())]
         # Equal strings of one stretch travel once.
         code: dict[bytes, int] = {}
         index = np.array([code.setdefault(t, len(code)) for t in texts], np.int32)

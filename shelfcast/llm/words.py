@@ -71,16 +71,21 @@ class Words:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of byte ranges, worked out over about ``BLOCK_BYTES`` at a time."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     table = _BYTE[LOWER_BYTES] if lower else _BYTE
     lengths = ends - starts
-    total = int(lengths.sum())
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    rank = np.arange(total) - np.repeat(first, lengths)
-    at = rank + np.repeat(starts, lengths)
-    values = table[data[at]] * powers(int(lengths.max()))[rank]
-    return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+    done = np.cumsum(lengths)
+    cut = np.unique(np.searchsorted(done, np.arange(0, int(done[-1]), BLOCK_BYTES)))
+    out = np.empty(len(starts), np.uint64)
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(starts)]):
+        n = lengths[a:b]
+        first = np.cumsum(n) - n
+        rank = np.arange(int(n.sum())) - np.repeat(first, n)
+        values = table[data[rank + np.repeat(starts[a:b], n)]] * powers(int(n.max()))[rank]
+        out[a:b] = mix(np.add.reduceat(values, first) + n.astype(np.uint64))
+    return out
 
 
 def plain(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
