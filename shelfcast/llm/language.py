@@ -22,6 +22,8 @@ from shelfcast.llm import words as W
 # Dimensions; letter symbols (0 is the gap between words, 1-26 are a-z, other letters are hashed
 # to the rest); sharpness of the score; languages that a model holds at most.
 DIMS, SYMBOLS, SHARP, MAX_LANGUAGES = 512, 64, 20.0, 1000
+# Text bytes and rows worked on at once: each row takes a dense row of the block's trigrams.
+BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 256
 UNKNOWN = "und"
 
 
@@ -100,7 +102,7 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
             codes = {n: i for i, n in enumerate(dict.fromkeys(names))}
             code = np.array([codes[n] for n in names])
             data, offsets = W.plain(batch.column(0))
-            for a, b in W.ranges(offsets):
+            for a, b in W.ranges(offsets, BLOCK_BYTES, BLOCK_ROWS):
                 gram, owner = trigrams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 if not len(gram):
                     continue
@@ -145,7 +147,7 @@ def predict(docs: DataFrame, model: Profiles, lang: str = "lang_pred", score: st
         for batch in batches:
             data, offsets = W.plain(batch.column(names.index(text_col)))
             langs, scores = [], [np.zeros(0)]
-            for a, b in W.ranges(offsets):
+            for a, b in W.ranges(offsets, BLOCK_BYTES, BLOCK_ROWS):
                 found, value = held.value.predict(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 langs += found
                 scores.append(value)

@@ -21,6 +21,8 @@ from shelfcast.llm import words as W
 # Labelled rows that are fitted at most, hashed word features, shape features, latent
 # dimensions, neighbours that vote, and the power of the similarity in a vote.
 MAX_ROWS, WORD_SLOTS, SHAPES, DIMS, NEAREST, POWER = 6000, 3840, 256, 64, 32, 4.0
+# Text bytes and rows worked on at once: each row takes a dense row of all features.
+BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 256
 
 _CLASS = np.full(256, 1 << 6, np.uint8)
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 1, 2, 4
@@ -98,7 +100,7 @@ def fit(rows: DataFrame, text_col: str = "text", label_col: str = "label", max_r
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, block in W.blocks(batch.column(0)):
+            for a, b, block in W.blocks(batch.column(0), BLOCK_BYTES, most=BLOCK_ROWS):
                 table = features(block)
                 packed = [(np.flatnonzero(t).astype(np.int32), t[t > 0]) for t in table]
                 yield pa.RecordBatch.from_arrays(
@@ -130,7 +132,8 @@ def score(docs: DataFrame, model: Neighbours, name: str = "score", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [held.value.score(features(block)) for _, _, block in W.blocks(batch.column(names.index(text_col)), 1 << 19)]
+            found = W.blocks(batch.column(names.index(text_col)), BLOCK_BYTES, most=BLOCK_ROWS)
+            scores = [held.value.score(features(block)) for _, _, block in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores or [np.zeros(0)]), pa.float64())], [*names, name])
 
     return docs.mapInArrow(run, _with(docs, name))

@@ -107,7 +107,7 @@ def encode_words(path: str, words: list[bytes]) -> list[np.ndarray]:
 class WordCache:
     """Ids of words seen by this Python worker, at most ``limit``: sorted hashes and flat ids."""
 
-    def __init__(self, path: str, limit: int = 2_000_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.path, self.limit = path, limit
         self.clear()
 

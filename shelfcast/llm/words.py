@@ -115,22 +115,22 @@ def split(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray = SPACE) -> W
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
-def ranges(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Consecutive row ranges with at most ``limit`` bytes each (one row at least)."""
+def ranges(offsets: np.ndarray, limit: int = BLOCK_BYTES, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges with at most ``limit`` bytes and ``most`` rows each (one row at least)."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-        stop = min(rows, max(row + 1, stop))
+        stop = min(rows, row + (most or rows), max(row + 1, stop))
         yield row, stop
         row = stop
 
 
 def blocks(
-    column: pa.Array, limit: int = BLOCK_BYTES, stops: np.ndarray = SPACE
+    column: pa.Array, limit: int = BLOCK_BYTES, stops: np.ndarray = SPACE, most: int | None = None
 ) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) of a text column, in blocks."""
     data, offsets = plain(column)
-    for a, b in ranges(offsets, limit):
+    for a, b in ranges(offsets, limit, most):
         yield a, b, split(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], stops)
 
 
