@@ -34,7 +34,7 @@ _ODD_SPACE = re.compile(rb"[\t-\r]|  ")
 # Text bytes packed together before they are dealt to buckets.
 PACK_BYTES = 16 << 20
 # Words of strings aimed at per bucket.
-BUCKET_WORDS = 1_500_000
+BUCKET_WORDS = 1_000_000
 
 
 def super_kmers(block: W.Words, hashed: np.ndarray, size: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
