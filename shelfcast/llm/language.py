@@ -123,7 +123,7 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
             )
 
     known = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    parts = known.filter("text is not null and lang is not null").mapInArrow(bundles, "lang string, v array<double>")
+    parts = known.filter("text is not null and lang is not null").mapInArrow(W.tidy(bundles), "lang string, v array<double>")
     sums = parts.select("lang", F.posexplode("v").alias("d", "x")).groupBy("lang", "d").agg(F.sum("x").alias("x"))
     total = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("v"), F.sum(F.abs("x")).alias("w"))
     found = total.orderBy(F.desc("w"), "lang").limit(MAX_LANGUAGES).select("lang", "v.x").collect()
@@ -154,4 +154,4 @@ def predict(docs: DataFrame, model: Profiles, lang: str = "lang_pred", score: st
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores), pa.float64())], [*names, lang, score])
 
     schema = StructType([*docs.schema.fields]).add(lang, StringType()).add(score, DoubleType())
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(W.tidy(run), schema)

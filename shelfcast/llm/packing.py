@@ -74,6 +74,6 @@ def pack(
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(cut, "id long, start long, length long, doc_tokens long, ids array<int>").select(
+    return rows.mapInArrow(W.tidy(cut), "id long, start long, length long, doc_tokens long, ids array<int>").select(
         "id", "start", "length", "doc_tokens", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids"
     )

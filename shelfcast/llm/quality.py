@@ -111,7 +111,7 @@ def fit(rows: DataFrame, text_col: str = "text", label_col: str = "label", max_r
     share = min(1.0, max_rows / total)
     chosen = rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(text_col, F.lit(11)).alias("mark"))
     chosen = chosen.filter(F.pmod("mark", F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    sample = chosen.mapInArrow(count, "label int, mark long, at binary, value binary").orderBy("mark", "label").limit(2 * max_rows).collect()
+    sample = chosen.mapInArrow(W.tidy(count), "label int, mark long, at binary, value binary").orderBy("mark", "label").limit(2 * max_rows).collect()
     table = np.zeros((len(sample), slots), np.float32)
     for row, r in zip(table, sample):
         row[np.frombuffer(bytes(r["at"]), np.int32)] = np.frombuffer(bytes(r["value"]), np.float32)
@@ -136,7 +136,7 @@ def score(docs: DataFrame, model: Neighbours, name: str = "score", text_col: str
             scores = [held.value.score(features(block)) for _, _, block in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores or [np.zeros(0)]), pa.float64())], [*names, name])
 
-    return docs.mapInArrow(run, _with(docs, name))
+    return docs.mapInArrow(W.tidy(run), _with(docs, name))
 
 
 def _with(docs: DataFrame, name: str):

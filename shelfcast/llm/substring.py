@@ -77,7 +77,7 @@ def _hot_minimisers(docs: DataFrame, size: int) -> tuple[np.ndarray, int]:
                 [pa.array([None, *value[many].view(np.int64).tolist()], pa.int64()), pa.array([total, *times[many].tolist()], pa.int64())], ["h", "c"]
             )
 
-    counts = docs.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    counts = docs.select("text").mapInArrow(W.tidy(count), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     rows = counts.filter(F.col("h").isNull() | (F.col("c") >= HOT)).orderBy(F.col("h").isNull().desc(), F.desc("c"), "h").limit(MAX_HOT + 1).collect()
     total = sum(r["c"] for r in rows if r["h"] is None)
     return np.sort(np.array([r["h"] for r in rows if r["h"] is not None], np.int64).view(np.uint64)), total
@@ -107,7 +107,7 @@ def _packed(docs: DataFrame, size: int, hot: np.ndarray, buckets: int) -> DataFr
         if held:
             yield from _deal(held, press)
 
-    return docs.select("row", "tag", "text").mapInArrow(emit, "bucket long, data binary")
+    return docs.select("row", "tag", "text").mapInArrow(W.tidy(emit), "bucket long, data binary")
 
 
 def _deal(held: list[tuple], press: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
@@ -237,6 +237,7 @@ def repeats(docs: DataFrame, size: int) -> DataFrame:
                 if bucket != last and parts:
                     yield from _span_rows(parts, size)
                     parts = []
+                    W.give_back()
                 last = bucket
                 parts.append(_open(data.as_py(), press))
         if parts:
@@ -245,7 +246,7 @@ def repeats(docs: DataFrame, size: int) -> DataFrame:
     # One partition takes many buckets one after another, in order.
     spans = (
         packed.repartition(max(1, min(buckets, 20_000)), "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(find, "row long, tag int, from int, to int")
+        .mapInArrow(W.tidy(find), "row long, tag int, from int, to int")
     )
     return spans.groupBy("row", "tag").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
 
@@ -321,5 +322,5 @@ def remove_repeats(
 
     joined = rows.join(spans, ["row", "tag"], "left").select("id", "text", "spans", "rest")
     schema = StructType().add("id", "long").add("n_words", "long").add("n_removed", "long").add(name, "string").add(joined.schema["rest"])
-    found = joined.mapInArrow(cut, schema)
+    found = joined.mapInArrow(W.tidy(cut), schema)
     return found.select(*(F.col("rest")[c].alias(c) for c in carry), "id", "n_words", "n_removed", name)
