@@ -8,6 +8,7 @@ before it, or white space that no such word takes: every cut lies on a cut of th
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +40,12 @@ def specials(path: str) -> tuple[bytes, ...]:
     return tuple(t.content.encode() for t in load(path).get_added_tokens_decoder().values())
 
 
+@lru_cache(maxsize=4)
+def _odd(path: str) -> re.Pattern[bytes]:
+    """Finds what a plain word must not hold: white space of any kind and special tokens."""
+    return re.compile(b"|".join([rb"[\x09-\x0D\x20]", *(re.escape(f) for f in (*_WIDE_FORMS, *specials(path)))]))
+
+
 def split(data: np.ndarray, offsets: np.ndarray, path: str) -> W.Words:
     """Pieces that tile every text. A text with wide spaces or special tokens is one piece."""
     size = len(data)
@@ -83,11 +90,11 @@ def encode_words(path: str, words: list[bytes]) -> list[np.ndarray]:
     tokenizer = load(path)
     end = tokenizer.encode("\n", add_special_tokens=False).ids
     out: list = [None] * len(words)
-    odd_forms = (*_WIDE_FORMS, *specials(path))
+    odd = _odd(path).search
     plain, other = [], []
     for i, word in enumerate(words):
         body = word[1:] if word[:1] == b" " else word
-        easy = len(body) and not any(c in body for c in b" \t\n\v\f\r") and not any(f in body for f in odd_forms)
+        easy = len(body) and not odd(body)
         (plain if easy and len(end) == 1 else other).append(i)
     joint = ["\n".join(words[i].decode() for i in plain[k : k + JOINT]) for k in range(0, len(plain), JOINT)]
     for k, coded in enumerate(tokenizer.encode_batch_fast(joint, add_special_tokens=False)):
