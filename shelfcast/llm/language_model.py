@@ -1,9 +1,13 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
-Words are counted over all training texts through chunk-wise distinct words. The most used words are
-the model's classes, all other words share one class, within which they keep their smoothed share
-of the counts; so every text gets a normalised probability. The class trigrams of the whole corpus,
-at most ``(CLASSES + 1)**2 * CLASSES`` numbers, are what the model is trained on in numpy.
+Words are counted over all training texts through chunk-wise distinct words. Every word seen at least
+``MIN_COUNT`` times has two vectors of its own, however many such words there are; they stay in Spark
+tables and travel to the chunks that use the word. The model has two levels. The class of the next
+word depends on the vector of the word before it and on the class of the one before that. Within its
+class a word depends on the class before it; what normalises that is summed over the vocabulary once
+per class and context class. So every text gets a normalised probability. The class vectors are
+trained on the class trigrams of the corpus, in numpy on the driver; the words' vectors are fitted to
+the words' own neighbour counts, which are gathered in a table, by the tasks that hold them.
 """
 
 from __future__ import annotations
@@ -22,13 +26,24 @@ from shelfcast.llm import chunks as C
 from shelfcast.llm import words as W
 from shelfcast.settings import settle
 
-# Classes: 0 is the end of a text, the last one all words that have none of their own.
+# Classes: 0 is the end of a text, then HEADS of one word each, then those of all other words seen
+# MIN_COUNT times, dealt by their last ENDING bytes; the last one holds the words seen less often.
 CLASSES, DIMS = 128, 24
 END, OTHER, START = 0, CLASSES - 1, CLASSES
+HEADS, MIN_COUNT, ENDING = 62, 5, 2
+GROUPS = CLASSES - HEADS - 2
 # Add-constant smoothing of word counts.
 ADD = 0.1
-# Training: steps, contexts per step, noise words per context, step size.
-STEPS, BATCH, NOISE, RATE = 1200, 2048, 10, 0.02
+# Training of the classes: least steps, contexts per step, noise words per context, step size, and how
+# often each distinct trigram is drawn at least in the mean.
+STEPS, BATCH, NOISE, RATE, DRAWS = 1200, 2048, 10, 0.02, 4
+# Fit of a word's vectors: rounds, pull to the class, noise per data word, words at a time.
+ROUNDS, PULL, WORD_NOISE, FIT_ROWS = 15, 4.0, 2.0, 2000
+# Tokens whose class probabilities are worked out at once.
+SOFT_ROWS = 8192
+# A word's neighbours on both sides: class before it (with START), class after it.
+SIDE = CLASSES + 1
+_ENTRY = np.dtype([("side", "<u2"), ("n", "<u4")])
 
 
 @dataclass
@@ -73,7 +88,8 @@ def train(code: np.ndarray, count: np.ndarray, seed: int = 3) -> LogBilinear:
     params = [model.inputs, model.outputs, model.bias, model.mixing]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     log_noise = np.log(NOISE * noise)
-    for step in range(1, STEPS + 1):
+    steps = max(STEPS, DRAWS * len(code) // BATCH)
+    for step in range(1, steps + 1):
         pick = np.minimum(np.searchsorted(share, rng.random(BATCH)), len(code) - 1)
         a, b = one[pick], two[pick]
         drawn = np.minimum(np.searchsorted(noise_sum, rng.random((BATCH, NOISE))), CLASSES - 1)
@@ -92,7 +108,7 @@ def train(code: np.ndarray, count: np.ndarray, seed: int = 3) -> LogBilinear:
         np.add.at(flat, (np.arange(BATCH)[:, None], w), g)
         grads[1], grads[2] = flat.T @ h, flat.sum(axis=0)
         grads[3] = np.stack([(gh * model.inputs[a]).sum(axis=0), (gh * model.inputs[b]).sum(axis=0)])
-        rate = RATE * (1 - 0.9 * step / STEPS)
+        rate = RATE * (1 - 0.9 * step / steps)
         for p, grad, m, v in zip(params, grads, first, second):
             m += 0.1 * (grad - m)
             v += 0.001 * (grad * grad - v)
@@ -114,35 +130,183 @@ def trigram_codes(one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndar
     return (one.astype(np.int64) * (CLASSES + 1) + two) * CLASSES + word
 
 
-def _trigrams(rows: DataFrame, top: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Class trigram counts of all rows marked for training."""
+@dataclass
+class WordModel:
+    """What all words share: class vectors, and the contexts that words are told apart by."""
+
+    inputs: np.ndarray  # (CLASSES + 1, DIMS)
+    outputs: np.ndarray
+    bias: np.ndarray
+    mixing: np.ndarray
+    contexts: np.ndarray  # vectors of the class before, spread evenly over all directions
+    follow: np.ndarray  # (CLASSES, CLASSES + 1): how often a class follows one
+    log_sum: np.ndarray | None = None  # (CLASSES, CLASSES + 1): log of the sum within a class
+
+    @classmethod
+    def of(cls, model: LogBilinear, code: np.ndarray, count: np.ndarray) -> WordModel:
+        pair, word = np.divmod(code, CLASSES)
+        follow = np.bincount(word * SIDE + pair % SIDE, weights=count, minlength=CLASSES * SIDE).reshape(CLASSES, SIDE)
+        share = follow.sum(axis=0) / max(follow.sum(), 1.0)
+        x = model.inputs * model.mixing[1]
+        x = x - share @ x
+        value, turn = np.linalg.eigh((x * share[:, None]).T @ x + 1e-6 * np.eye(DIMS))
+        x = np.clip(x @ (turn / np.sqrt(value)), -4.0, 4.0)
+        return cls(*(np.asarray(v, np.float32) for v in (model.inputs, model.outputs, model.bias, model.mixing, x, follow)))
+
+    def log_classes(self, one: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """log p(class | class before last, vector of the word before), for all classes."""
+        x = (self.inputs[one] * self.mixing[0] + vectors * self.mixing[1]) @ self.outputs.T
+        x += self.bias
+        x -= x.max(axis=1, keepdims=True)
+        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+
+    def fit(self, sides: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(input, output) vectors of words from their neighbour counts (words, 2 * CLASSES + 1)."""
+        before, after = sides[:, :SIDE].astype(np.float32), sides[:, SIDE:].astype(np.float32)
+        # Input: the classes after the word, beside what the classes before it already say.
+        start = self.inputs[kind]
+        uses = np.maximum(after.sum(axis=1, keepdims=True), 1)
+        given = (before / np.maximum(before.sum(axis=1, keepdims=True), 1)) @ (self.inputs * self.mixing[0]) @ self.outputs.T + self.bias
+        out = self.outputs * self.mixing[1]
+        middle = out - out.mean(axis=0)
+        value, turn = np.linalg.eigh(0.5 * middle.T @ middle)  # bounds the curvature of a softmax
+        one = start.copy()
+        for _ in range(ROUNDS):
+            x = given + one @ out.T
+            p = np.exp(x - x.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            grad = (after - uses * p) @ out - PULL * (one - start)
+            one = one + ((grad @ turn) / (uses * np.maximum(value, 0) + PULL)) @ turn.T
+        # Output: the contexts of the word against those of its class; the noise is taken in the mean.
+        two = np.zeros_like(one)
+        many = (kind > HEADS) & (kind != OTHER)
+        whole = np.maximum(self.follow.sum(axis=1), 1)[kind][:, None]
+        data, noise = before[many], (WORD_NOISE * before.sum(axis=1, keepdims=True) / whole * self.follow[kind])[many]
+        step = 1 / (0.25 * ((data + noise) @ (self.contexts**2).sum(axis=1)) + PULL)[:, None]
+        q, ahead, pace = two[many], two[many], 1.0
+        for _ in range(2 * ROUNDS):  # accelerated gradient steps
+            g = 1 / (1 + np.exp(np.clip(np.log(WORD_NOISE) - ahead @ self.contexts.T, -30, 30)))
+            new = ahead + step * ((data * (1 - g) - noise * g) @ self.contexts - PULL * ahead)
+            following = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+            ahead, q, pace = new + (pace - 1) / following * (new - q), new, following
+        two[many] = q
+        return one.astype(np.float16), two.astype(np.float16)
+
+
+def _gather(codes: DataFrame, resolved: DataFrame) -> DataFrame:
+    """(h, class, c, data): per chunk and word of the vocabulary the counts of the classes on both
+    sides in training texts; with a null ``h`` the chunk's class trigrams."""
+    kinds = (CLASSES + 1) ** 2 * CLASSES
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        codes, counts, columns, distinct = C.open_codes(left)
+        kind = C.answers(right, "class", distinct).to_numpy().astype(np.int32)
+        mark = columns.column("train").to_numpy().astype(bool)
+        codes, counts = codes[np.repeat(mark, counts)].astype(np.int32), counts[mark]
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        total, keys, row = np.zeros(kinds, np.uint32), [], 0
+        while row < len(counts):
+            stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + 500_000, "right")) - 1)
+            part, ends = codes[bounds[row] : bounds[stop]], bounds[row : stop + 1] - bounds[row]
+            one, two, token = sequences(kind[part], ends)
+            at, n = np.unique(trigram_codes(one, two, token), return_counts=True)
+            total[at] += n.astype(np.uint32)
+            place = np.flatnonzero(np.insert(np.ones(len(part), bool), ends[1:], False))  # the words among the tokens
+            own = kind[part] != OTHER
+            for side in (two[place], SIDE + token[place + 1]):
+                keys.append((part.astype(np.int64) * (SIDE + CLASSES) + side)[own])
+            row = stop
+        key, n = np.unique(np.concatenate(keys or [np.zeros(0, np.int64)]), return_counts=True)
+        word, side = np.divmod(key, SIDE + CLASSES)
+        entry = np.empty(len(key), _ENTRY)
+        entry["side"], entry["n"] = side, n
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        some = np.flatnonzero(total)
+        offsets = np.append(first, len(key)).astype(np.int32) * np.int32(_ENTRY.itemsize)
+        data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(entry.tobytes())])
+        words = pa.array(word[first])
+        table = {k: C.answers(right, k, distinct).take(words) for k in ("h", "class", "c")}
+        made = pa.table({"h": table["h"].cast(pa.int64()), "class": table["class"].cast(pa.int32()), "c": table["c"].cast(pa.int64()), "data": data})
+        classes = pa.table(
+            {"h": pa.nulls(1, pa.int64()), "class": pa.nulls(1, pa.int32()), "c": pa.nulls(1, pa.int64()), "data": pa.array([some.astype("<i8").tobytes() + total[some].astype("<i8").tobytes()], pa.binary())}
+        )
+        return pa.concat_tables([made, classes])
+
+    return C.join_back(codes, resolved, finish, "h long, class int, c long, data binary")
+
+
+def _class_trigrams(gathered: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Class trigram counts of the whole corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, offsets = W.plain(pa.array([t.decode() for t in top], pa.string()))
-        hashed = W.span_hashes(data, offsets[:-1], offsets[1:])
-        order = np.argsort(hashed)
-        keys, place = hashed[order], order + 1
         total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
         for batch in batches:
-            for _, _, block in W.blocks(batch.column(0)):
-                word = block.hashes(lower=True)
-                classes = np.full(len(word), OTHER)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
-                    classes = np.where(keys[at] == word, place[at], OTHER)
-                total += np.bincount(trigram_codes(*sequences(classes, block.bounds)), minlength=len(total))
+            for data in batch.column(0).to_pylist():
+                code, n = np.frombuffer(data, "<i8").reshape(2, -1)
+                total[code] += n
         some = np.flatnonzero(total)
         for k in range(0, len(some), C.OUT_ROWS):
             part = some[k : k + C.OUT_ROWS]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["code", "n"])
 
-    counts = rows.filter("train").select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = gathered.filter("h is null").select("data").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     table = counts.toArrow()  # bounded by the number of class trigrams
     code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
     order = np.argsort(code)
     return code[order], n[order].astype(np.float64)
 
 
+def _word_vectors(gathered: DataFrame, model: WordModel) -> DataFrame:
+    """(h, class, c, vectors): both vectors of every word of the vocabulary."""
+    held = gathered.sparkSession.sparkContext.broadcast(model)  # bounded by the number of classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), FIT_ROWS):
+                batch = whole.slice(at, FIT_ROWS)
+                lists = batch.column(3)
+                parts = lists.flatten()
+                owner = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
+                entry = np.frombuffer(b"".join(parts.to_pylist()), _ENTRY)
+                owner = np.repeat(owner, np.diff(_offsets(parts)) // _ENTRY.itemsize)
+                width = SIDE + CLASSES
+                sides = np.bincount(owner * width + entry["side"], weights=entry["n"], minlength=len(batch) * width).reshape(-1, width)
+                both = np.concatenate(held.value.fit(sides, batch.column(1).to_numpy()), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:3], pa.array([v.tobytes() for v in both], pa.binary())], ["h", "class", "c", "vectors"]
+                )
+
+    words = gathered.filter("h is not null").groupBy("h").agg(F.first("class").alias("class"), F.first("c").alias("c"), F.collect_list("data").alias("data"))
+    return words.mapInArrow(W.tidy(run), "h long, class int, c long, vectors binary")
+
+
+def _offsets(column: pa.BinaryArray) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+
+
+def _class_sums(vectors: DataFrame, model: WordModel) -> np.ndarray:
+    """Sums of (c + ADD) * exp(context . output) within each class, for every class before."""
+    held = vectors.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((CLASSES, SIDE))
+        for batch in batches:
+            q = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float16).reshape(-1, 2 * DIMS)[:, DIMS:].astype(np.float32)
+            kind, c = batch.column(0).to_numpy(), batch.column(1).to_numpy() + ADD
+            order = np.argsort(kind, kind="stable")
+            value = (np.exp(q @ held.value.contexts.T) * c[:, None])[order]
+            first = np.flatnonzero(np.diff(kind[order], prepend=-1))
+            if len(first):
+                total[kind[order][first]] += np.add.reduceat(value, first, axis=0)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total.ravel()[some])], ["at", "z"])
+
+    rows = vectors.select("class", "c", "vectors").mapInArrow(run, "at long, z double").groupBy("at").agg(F.sum("z").alias("z")).collect()
+    out = np.zeros(CLASSES * SIDE)
+    out[[r["at"] for r in rows]] = [r["z"] for r in rows]
+    return out.reshape(CLASSES, SIDE)
+
+
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score all texts with a model of the rows for which ``held_out`` (a column) is not true.
 
@@ -171,14 +335,23 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     kinds, tokens = int(seen.get.get("kinds") or 0) + (texts > 0), int(seen.get.get("words") or 0) + texts
     top = [
         (bytes(r["word"]), r["c"])
-        for r in counted.filter(first & (F.col("c") > 0)).orderBy(F.desc("c"), "word").limit(CLASSES - 2).select("word", "c").collect()
+        for r in counted.filter(first & (F.col("c") > 0)).orderBy(F.desc("c"), "word").limit(HEADS).select("word", "c").collect()
     ]
-    model = train(*_trigrams(rows, [w for w, _ in top]))
-    whole = tokens + ADD * (kinds + 1)
-    rest = max(whole - sum(c + ADD for _, c in top) - (texts + ADD), ADD)
     spark = docs.sparkSession
-    names = spark.createDataFrame([(w, i + 1) for i, (w, _) in enumerate(top)], "word binary, class int")
-    resolved = counted.join(F.broadcast(names), "word", "left").select("chunk", "code", "c", F.coalesce("class", F.lit(OTHER)).alias("class"))
+    names = spark.createDataFrame([(w, i + 1) for i, (w, _) in enumerate(top)], "word binary, head int")
+    ending = HEADS + 1 + F.pmod(F.xxhash64(F.expr(f"substring(word, -{ENDING})")), F.lit(GROUPS))
+    kind = F.coalesce("head", F.when(F.col("c") >= MIN_COUNT, ending.cast("int")), F.lit(OTHER))
+    resolved = counted.join(F.broadcast(names), "word", "left").select("chunk", "code", "c", kind.alias("class"), F.xxhash64("word").alias("h"))
+    codes_of = settle(C.code_rows(rows, W.split, lower=True), "codes")
+    gathered = settle(_gather(codes_of, resolved), "neighbours")
+    trigrams = _class_trigrams(gathered)
+    model = WordModel.of(train(*trigrams), *trigrams)
+    vectors = settle(_word_vectors(gathered, model), "vectors")
+    sums = _class_sums(vectors, model)
+    whole = tokens + ADD * (kinds + 1)
+    sums[OTHER] = max(whole - sum(c for (c,) in vectors.agg(F.sum(F.col("c") + ADD)).collect() if c) - (texts + ADD), ADD)
+    model.log_sum = np.log(np.maximum(sums, 1e-300))
+    resolved = resolved.join(vectors.select("h", "vectors"), "h", "left").select("chunk", "code", "c", "class", "vectors")
     held = spark.sparkContext.broadcast(model)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -186,7 +359,13 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         c = C.answers(right, "c", distinct).to_numpy().astype(np.float64)
         kind = C.answers(right, "class", distinct).to_numpy()
         base = np.log10((c + ADD) / whole)
-        inner = np.where(kind == OTHER, np.log10((c + ADD) / rest), 0.0)
+        model, log_c = held.value, np.log(c + ADD)
+        # Both vectors of every word; one without its own has its class's.
+        inputs, outputs = np.append(model.inputs[kind], model.inputs[START:], axis=0).astype(np.float16), np.zeros((distinct, DIMS), np.float16)
+        found = C.answers(right, "vectors", distinct)
+        own = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        both = np.frombuffer(b"".join(found.drop_null().to_pylist()), np.float16).reshape(-1, 2 * DIMS)
+        inputs[own], outputs[own] = both[:, :DIMS], both[:, DIMS:]
         end, ends = np.log10((texts + ADD) / whole), np.concatenate([[0], np.cumsum(counts)])
         known_word, parts = (c > 0).astype(np.float64), []
         row = 0
@@ -199,10 +378,24 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
             base_score = add(base) + end
             value = base_score
             if tokens:
-                one, two, token = sequences(kind[part], ends[row : stop + 1] - ends[row])
-                steps = held.value.table[one.astype(np.int64) * (CLASSES + 1) + two, token]
+                limits = ends[row : stop + 1] - ends[row]
+                one, two, token = sequences(kind[part], limits)
+                word = np.insert(part, limits[1:], distinct)  # the end, and what stands before a text
+                before = np.append(distinct, word[:-1])
+                steps = np.empty(len(token))
+                for k in range(0, len(token), SOFT_ROWS):
+                    at = slice(k, k + SOFT_ROWS)
+                    steps[at] = model.log_classes(one[at], inputs[before[at]].astype(np.float32))[np.arange(len(token[at])), token[at]]
+                inside = np.flatnonzero(token != END)
+                w, follows = word[inside], two[inside]
+                steps[inside] += log_c[w] - model.log_sum[token[inside], follows]
+                many = inside[(token[inside] > HEADS) & (token[inside] != OTHER)]
+                for k in range(0, len(many), 1 << 16):
+                    at = many[k : k + (1 << 16)]
+                    steps[at] += np.einsum("td,td->t", outputs[word[at]].astype(np.float32), model.contexts[two[at]])
+                steps /= np.log(10)
                 owner_of_token = np.repeat(np.arange(stop - row), n + 1)
-                value = add(inner) + np.bincount(owner_of_token, weights=steps, minlength=stop - row)
+                value = np.bincount(owner_of_token, weights=steps, minlength=stop - row)
             parts.append((add(known_word).astype(np.int64) + (texts > 0), base_score, value))
             row = stop
         known, base_score, value = (np.concatenate(x) for x in zip(*parts))
@@ -220,4 +413,4 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         )
 
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return C.join_back(C.code_rows(rows, W.split, lower=True), resolved, finish, schema)
+    return C.join_back(codes_of, resolved, finish, schema)

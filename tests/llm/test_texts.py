@@ -237,3 +237,35 @@ def test_pipeline(spark):
         assert not removed or hashlib.sha256(cut[i].encode()).hexdigest() == digest
     whole = corpus_pipeline.run(spark, FOLDER).select("doc_id", "length", "doc_tokens").collect()
     assert {r.doc_id for r in whole} <= ids and all(r.length <= 1024 for r in whole)
+
+
+def test_language_model_knows_words_beyond_the_most_used(make):
+    """300 words that each have a follower of their own, behind 200 more frequent ones."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    lines = [f"left{k}x{k % 7} right{k}y{k % 11}" for k in range(300) for _ in range(8)]
+    rows = [(k, " ".join(rng.choices([f"top{j}" for j in range(200)], k=30))) for k in range(300)]
+    rows += [(1000 + k, line) for k, line in enumerate(lines)]
+    asked = [(f"left{k}x{k % 7} right{k}y{k % 11}", f"left{k}x{k % 7} right{j}y{j % 11}") for k in range(60) for j in [(k * 7 + 31) % 300]]
+    rows += [(5000 + 2 * k + s, pair[s]) for k, pair in enumerate(asked) for s in (0, 1)]
+    got = {r.id: r.score for r in language_model.score(make(rows), F.col("doc_id") >= 5000).collect() if r.id >= 5000}
+    gain = [got[5000 + 2 * k] - got[5001 + 2 * k] for k in range(len(asked))]
+    assert np.mean(gain) > 0.3
+
+
+def test_language_model_within_classes_is_normalised(spark, make):
+    rng = np.random.default_rng(5)
+    code = np.unique(rng.integers(0, (language_model.CLASSES + 1) ** 2 * language_model.CLASSES, 3000))
+    count = rng.integers(1, 9, len(code)).astype(float)
+    model = language_model.WordModel.of(language_model.train(code, count), code, count)
+    kind = np.repeat([70, 71], 500).astype(np.int32)
+    sides = rng.poisson(0.1, (1000, language_model.SIDE + language_model.CLASSES)).astype(float)
+    one, two = model.fit(sides, kind)
+    rows = [(k, int(kind[k]), int(sides[k].sum()), np.append(one[k], two[k]).tobytes()) for k in range(1000)]
+    sums = language_model._class_sums(spark.createDataFrame(rows, "h long, class int, c long, vectors binary"), model)
+    weight = np.array([r[2] for r in rows]) + language_model.ADD
+    share = weight[:, None] * np.exp(two.astype(np.float32) @ model.contexts.T) / sums[kind]
+    assert np.allclose(share[:500].sum(axis=0), 1) and np.allclose(share[500:].sum(axis=0), 1)
+    assert len(np.unique(two.round(4), axis=0)) > 900
+    assert np.allclose(np.exp(model.log_classes(np.zeros(9, int), one[:9].astype(np.float32))).sum(axis=1), 1, atol=1e-4)
