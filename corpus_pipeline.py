@@ -28,11 +28,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language: those without any letter or text go."""
+    """Documents that the classifier can place.
+
+    Those without any letter or text go, and those much farther from every language, or nearer to a
+    tie between languages, than labelled texts of their size (``language.limits``).
+    """
     ready(spark)
     learn = docs.filter(F.col("doc_id").isNotNull() & ~folds.held_out("doc_id", 4, 2))
-    found = language.predict(docs.select(*COLUMNS), language.fit(learn), "_lang", "_sure")
-    return found.filter(F.col("_lang") != language.UNKNOWN).select(*COLUMNS)
+    model = language.fit(learn)
+    least = language.limits(learn, model)
+    found = language.predict(docs.select(*COLUMNS), model, "_lang", "_sure", more=("_near", "_letters"))
+    return found.filter(language.placed(least, "_lang", "_sure", "_near", "_letters")).select(*COLUMNS)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,9 +13,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from shelfcast.llm import words as W
 
@@ -25,6 +25,8 @@ DIMS, SYMBOLS, SHARP, MAX_LANGUAGES = 512, 64, 20.0, 1000
 # Text bytes and rows worked on at once: each row takes a dense row of the block's trigrams.
 BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 256
 UNKNOWN = "und"
+# One labelled row in so many may lie below a limit; steps of a limit.
+RARE, BINS = 1000, 1000
 
 
 @lru_cache(maxsize=1)
@@ -78,18 +80,21 @@ class Profiles:
     languages: list[str]
     prototypes: np.ndarray
 
-    def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, largest cosine and number of letters of every text."""
         texts = len(offsets) - 1
         gram, owner = trigrams(data, offsets)
         if not len(gram) or not self.languages:
-            return [UNKNOWN] * texts, np.zeros(texts)
+            return [UNKNOWN] * texts, np.zeros(texts), np.zeros(texts), np.bincount(owner, minlength=texts)
         vectors = bundle(gram, owner, texts)
         cosine = vectors @ self.prototypes.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         best = cosine.argmax(axis=1)
         share = np.exp(SHARP * (cosine - cosine.max(axis=1, keepdims=True)).astype(np.float64))
         score = 1.0 / share.sum(axis=1)
-        none = np.bincount(owner, minlength=texts) == 0
-        return [UNKNOWN if e else self.languages[b] for e, b in zip(none, best)], np.where(none, 0.0, score)
+        letters = np.bincount(owner, minlength=texts)
+        none = letters == 0
+        most = np.where(none, 0.0, cosine.max(axis=1).astype(np.float64))
+        return [UNKNOWN if e else self.languages[b] for e, b in zip(none, best)], np.where(none, 0.0, score), most, letters
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
@@ -133,25 +138,67 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
     return Profiles([r["lang"] for r in found], table.astype(np.float32))
 
 
-def predict(docs: DataFrame, model: Profiles, lang: str = "lang_pred", score: str = "score", text_col: str = "text") -> DataFrame:
-    """``docs`` with the predicted language and a score from 0 to 1, both new column names.
+def predict(
+    docs: DataFrame, model: Profiles, lang: str = "lang_pred", score: str = "score", text_col: str = "text", more: tuple[str, str] | None = None
+) -> DataFrame:
+    """``docs`` with the predicted language and a score from 0 to 1, both new column names, and with the
+    largest cosine and the number of letters if two columns are named for them (``more``).
 
     The language is ``und`` with score 0 for null texts, texts without a letter, and where nothing
     was learned. Ties go to the language whose name comes first. All other columns stay as they are;
     an empty table stays empty.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES vectors
-    names = docs.columns
+    names, new = docs.columns, [lang, score, *(more or ())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W.plain(batch.column(names.index(text_col)))
-            langs, scores = [], [np.zeros(0)]
+            langs, scores, most, sizes = [], [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)]
             for a, b in W.ranges(offsets, BLOCK_BYTES, BLOCK_ROWS):
-                found, value = held.value.predict(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                found, value, near, letters = held.value.predict(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 langs += found
                 scores.append(value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores), pa.float64())], [*names, lang, score])
+                most.append(near)
+                sizes.append(letters)
+            made = [pa.array(langs, pa.string()), *(pa.array(np.concatenate(x)) for x in (scores, most, sizes))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made[: len(new)]], [*names, *new])
 
     schema = StructType([*docs.schema.fields]).add(lang, StringType()).add(score, DoubleType())
+    schema = schema.add(more[0], DoubleType()).add(more[1], LongType()) if more else schema
     return docs.mapInArrow(W.tidy(run), schema)
+
+
+def _size(letters: str) -> Column:
+    return F.floor(F.log2(F.col(letters))).cast("int")
+
+
+def limits(rows: DataFrame, model: Profiles, text_col: str = "text", lang_col: str = "lang") -> dict[int, tuple[float, float]]:
+    """Least cosine and least score of a placed text, per size (binary logarithm of its letters).
+
+    Measured are the values that all labelled rows of a size but one in ``RARE`` reach (the least ones of
+    fewer rows). The limits are half that cosine, and the middle of that score and a tie of two languages.
+    """
+    known = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null")
+    found = predict(known, model, "_lang", "_score", more=("_near", "_letters")).filter(F.col("_lang") != UNKNOWN)
+    step = lambda c: F.floor(F.col(c) * BINS)
+    values = F.array(*(F.struct(F.lit(k).alias("k"), step(c).alias("at")) for k, c in enumerate(("_near", "_score"))))
+    pairs = found.select(_size("_letters").alias("size"), F.explode(values).alias("p"))
+    # At most some BINS rows for each size.
+    counts = pairs.groupBy("size", "p.k", "p.at").agg(F.count(F.lit(1)).alias("n")).collect()
+    least: dict[int, list[float]] = {}
+    for size in sorted({r["size"] for r in counts}):
+        for k in (0, 1):
+            table = sorted((r["at"], r["n"]) for r in counts if (r["size"], r["k"]) == (size, k))
+            spare = sum(n for _, n in table) // RARE
+            below = np.cumsum([n for _, n in table])
+            least.setdefault(size, []).append(table[int(np.searchsorted(below, spare, "right"))][0] / BINS)
+    return {size: (min(near, near / 2), sure if sure < 0.5 else (sure + 0.5) / 2) for size, (near, sure) in least.items()}
+
+
+def placed(least: dict[int, tuple[float, float]], lang: str, score: str, cosine: str, letters: str) -> Column:
+    """Whether a text reaches the limits of its size, or those of the next smaller size that has any."""
+    inside = F.lit(True)
+    for size, (near, sure) in sorted(least.items()):
+        inside = F.when(_size(letters) >= size, (F.col(cosine) >= near) & (F.col(score) >= sure)).otherwise(inside)
+    return (F.col(lang) != UNKNOWN) & inside

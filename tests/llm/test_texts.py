@@ -269,3 +269,17 @@ def test_language_model_within_classes_is_normalised(spark, make):
     assert np.allclose(share[:500].sum(axis=0), 1) and np.allclose(share[500:].sum(axis=0), 1)
     assert len(np.unique(two.round(4), axis=0)) > 900
     assert np.allclose(np.exp(model.log_classes(np.zeros(9, int), one[:9].astype(np.float32))).sum(axis=1), 1, atol=1e-4)
+
+
+def test_pipeline_drops_texts_of_no_language(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rng = random.Random(3)
+    letters = "".join(chr(c) for c in range(97, 123))
+    noise = ["".join(rng.choices(letters + "  ", k=400)) for _ in range(20)] + ["".join(rng.choices("ABCDEFxyz0123456789+/qwQW", k=300)) for _ in range(20)]
+    # Without a language of their own, in a fold that is not learned from.
+    ids = [k for k in range(10**6, 10**6 + 400) if held(k, 4, 2)][: len(noise)]
+    planted = spark.createDataFrame([(k, t, None, "s", len(t)) for k, t in zip(ids, noise)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.keep_language(spark, docs.unionByName(planted), FOLDER).collect()}
+    assert len(ids) == len(noise) and not kept & set(ids)
+    texts = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert len(texts & kept) >= 0.99 * len(texts)
