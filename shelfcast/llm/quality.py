@@ -90,7 +90,10 @@ def _weights_and_directions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def fit(rows: DataFrame, text_col: str = "text", label_col: str = "label", max_rows: int = MAX_ROWS) -> Neighbours:
-    """Fit on at most about ``max_rows`` rows with label 0 or 1, chosen by a hash of the text."""
+    """Fit on at most about ``max_rows`` rows with label 0 or 1, chosen by a hash of the whole row.
+
+    So copies of a text under different ids are chosen one by one. Rows that are equal throughout count once.
+    """
     counts = {r["label"]: r["n"] for r in rows.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.get(k, 0) for k in (0, 1))
     prior = counts.get(1, 0) / total if total else 0.5
@@ -109,9 +112,9 @@ def fit(rows: DataFrame, text_col: str = "text", label_col: str = "label", max_r
                 )
 
     share = min(1.0, max_rows / total)
-    chosen = rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(text_col, F.lit(11)).alias("mark"))
+    chosen = rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(*rows.columns, F.lit(11)).alias("mark"))
     chosen = chosen.filter(F.pmod("mark", F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    sample = chosen.mapInArrow(W.tidy(count), "label int, mark long, at binary, value binary").orderBy("mark", "label").limit(2 * max_rows).collect()
+    sample = chosen.mapInArrow(W.tidy(count), "label int, mark long, at binary, value binary").dropDuplicates(["mark", "label"]).orderBy("mark", "label").limit(2 * max_rows).collect()
     table = np.zeros((len(sample), slots), np.float32)
     for row, r in zip(table, sample):
         row[np.frombuffer(bytes(r["at"]), np.int32)] = np.frombuffer(bytes(r["value"]), np.float32)

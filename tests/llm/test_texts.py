@@ -283,3 +283,37 @@ def test_pipeline_drops_texts_of_no_language(spark):
     assert len(ids) == len(noise) and not kept & set(ids)
     texts = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
     assert len(texts & kept) >= 0.99 * len(texts)
+
+
+def hot_rows(spark, hot, rest):
+    """(id, text, label): 2,000 copies of one ordinary text, and other rows."""
+    return spark.createDataFrame([(k, hot, 0) for k in range(2000)] + [(5000 + k, *r) for k, r in enumerate(rest)], "id long, text string, label int").repartition(4)
+
+
+def marks(spark, texts, seed):
+    from pyspark.sql import functions as F
+
+    return [(r.h, r.text) for r in spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.xxhash64("text", F.lit(seed)).alias("h")).collect()]
+
+
+def test_toxicity_calibration_beside_a_hot_text(spark, monkeypatch):
+    queries.ready(spark)
+    monkeypatch.setattr(toxicity, "CALIBRATE", 800)
+    plain = lambda rng: " ".join("".join(rng.choices("aeioustrnl", k=5)) for _ in range(40))
+    # A text that a sample by the text's hash takes as a whole.
+    hot = next(t for h, t in marks(spark, [plain(random.Random(k)) for k in range(400)], 5) if h % (1 << 30) < (1 << 30) * 0.1)
+    rng = random.Random(9)
+    rest = [(plain(rng), 0) for _ in range(1800)] + [(plain(rng) + " venom spite" * 3, 1) for _ in range(200)]
+    rows = hot_rows(spark, hot, rest)
+    scored = toxicity.score(rows, toxicity.fit(rows), "q").collect()
+    assert min(r.q for r in scored if r.label == 1) > 0.9 and max(r.q for r in scored if r.label == 0) < 0.1
+
+
+def test_quality_sample_beside_a_hot_text(spark):
+    queries.ready(spark)
+    plain = lambda rng: " ".join("".join(rng.choices("aeioustrnl", k=5)) for _ in range(20))
+    found = [x for x in marks(spark, [plain(random.Random(k)) for k in range(4000)], 11) if x[0] % (1 << 30) < (1 << 30) * 0.05]
+    rng = random.Random(9)
+    rows = hot_rows(spark, min(found)[1], [(plain(rng), 1) for _ in range(600)])
+    model = quality.fit(rows, max_rows=200)
+    assert 100 < len(model.labels) < 300 and 20 < model.labels.sum() < 90
