@@ -1,4 +1,4 @@
-"""The ten registered queries: thin contracts over the operators."""
+"""The registered queries: thin contracts over the operators."""
 
 from __future__ import annotations
 
@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    bpe, embeddings, folds, jaccard, language, language_model, packing, quality, rules, substring, toxicity,
+    align, bpe, embeddings, folds, jaccard, language, language_model, packing, quality, rules, spelling, substring, toxicity, urls,
 )
+from shelfcast.llm.oracles import SPELLING_SQL, url_sql
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, OTHER_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
+URL_RULES = (
+    urls.Rule("net", "/", "block"), urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"), urls.Rule("org", "/fr/", "allow"),
+)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -117,11 +122,24 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"), least_letters=5, least_uses=3, noise=97)
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = align.align(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path(OTHER_TOKENIZER))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_packing, op3_substring_dedup, op4_embedding_dedup, op5_quality, op6_toxicity,
-        op7_quality_rules, op8_lm_score, op9_language, op10_bpe,
+        op7_quality_rules, op8_lm_score, op9_language, op10_bpe, op11_url_filter, op12_spelling, op13_token_alignment,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_url_filter": url_sql(URL_RULES), "op12_spelling": SPELLING_SQL}
