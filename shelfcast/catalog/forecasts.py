@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.base import ID, W, Query
@@ -15,6 +17,7 @@ from shelfcast.operators.history import previous_mean
 from shelfcast.operators.skew import ordered
 from shelfcast.operators.target import train_test_split
 from shelfcast.plans import jobs
+from shelfcast.plans.state import FeatureState, grid_features
 from shelfcast.schema import GROUP, ORDER
 from shelfcast.settings import new_path, settle
 from shelfcast.sources.files import write_result
@@ -203,6 +206,70 @@ def _score_test(r):
     return jobs.score_rows(model(r), test).select(*ORDER, *E.member_columns(), "forecast")
 
 
+# ---- feature state -----------------------------------------------------------
+
+STATE_DAYS = 7
+STATE_COLUMNS = (
+    "sku store_id sale_date@ price~2 lag_1~6 lag_30~6 lag_90~6 ma_7~6 ma_90~6 median_14~6 max_30~6 min_7~6 "
+    "std_30~4 trend_slope_7~4 acceleration_7~4 recent_promo_7 price_change~6 promo_share_30~6 price_vs_sku_mean~6 "
+    "sku_mean_discount~6 price_dev_store_day~4 promo_sales_mean~6 promo_effectiveness~6 weighed_group_mean~6 "
+    "price_ratio_weighed~6 price_ratio_unit~6 store_rank~6 days_since_start"
+)
+
+
+def _state_features(r):
+    """Grid features from the merged states of two halves of the history."""
+    half = F.pmod(F.xxhash64(*ORDER), F.lit(2))
+    loaded = settle(r.loaded, "loaded")
+    state = FeatureState.build(loaded.where(half == 0)).merge(FeatureState.build(loaded.where(half == 1)))
+    return grid_features(state, state.grid(r.holidays, r.promotions, STATE_DAYS), r.holidays, r.promotions)
+
+
+def _state_tables() -> dict[str, str]:
+    """The same features over the whole history and the grid."""
+    back = lambda n: f"({W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    newest = ", ".join(f"{c} DESC" for c in ORDER)
+    same = "sku, store_id, sale_date, receipt_id, line_part, line_supp, line_no, quantity, base_price, price, weighed, promo_active, net_sales"
+    return {
+        "attributes": f"""SELECT sku, price, base_price, weighed FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY sku ORDER BY {newest}) AS rn FROM loaded) t WHERE rn = 1""",
+        "grid": f"""SELECT p.sku, p.store_id, CAST(m.d + CAST(i AS INT) AS DATE) AS sale_date, a.price, a.base_price, a.weighed
+          FROM (SELECT DISTINCT sku, store_id FROM loaded) p CROSS JOIN (SELECT MAX(sale_date) AS d FROM loaded) m
+          CROSS JOIN (SELECT UNNEST(GENERATE_SERIES(1, {STATE_DAYS})) AS i) g LEFT JOIN attributes a ON a.sku = p.sku""",
+        "every_row": f"""SELECT {same}, FALSE AS future FROM loaded UNION ALL
+          SELECT sku, store_id, sale_date, NULL, NULL, NULL, NULL, NULL, base_price, price, weighed, 0, NULL, TRUE FROM grid""",
+        "numbered": f"""SELECT *, ROW_NUMBER() OVER ({W}) AS rn,
+          GREATEST(0, LEAST(1, 1 - COALESCE(price / NULLIF(base_price, 0), 1))) AS discount FROM every_row""",
+        "looked": f"""SELECT *, {", ".join(f"LAG(net_sales, {n}) OVER ({W}) AS before_{n}" for n in (1, 30, 90))},
+          {", ".join(f"AVG(net_sales) OVER {back(n)} AS ma_{n}" for n in (7, 90))},
+          MEDIAN(net_sales) OVER {back(14)} AS median_14, MAX(net_sales) OVER {back(30)} AS max_30,
+          MIN(net_sales) OVER {back(7)} AS min_7, COALESCE(STDDEV_SAMP(net_sales) OVER {back(30)}, 0) AS std_30,
+          COALESCE(CASE WHEN COUNT(net_sales) OVER {back(7)} >= 3 THEN REGR_SLOPE(net_sales, rn) OVER {back(7)} END, 0) AS trend_slope_7,
+          COALESCE(MAX(promo_active) OVER {back(7)}, 0) AS recent_promo_7,
+          COALESCE(price / NULLIF(LAG(price) OVER ({W}), 0) - 1, 0) AS price_change,
+          AVG(promo_active) OVER (PARTITION BY sku ORDER BY store_id, {", ".join(ORDER)} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS promo_share_30
+          FROM numbered""",
+        "trended": f"SELECT *, COALESCE(trend_slope_7 - LAG(trend_slope_7) OVER ({W}), 0) AS acceleration_7 FROM looked",
+        "by_sku": """SELECT sku, AVG(price) AS sku_price, AVG(discount) AS sku_mean_discount, MEDIAN(net_sales) AS med FROM numbered GROUP BY sku""",
+        "by_pair": """SELECT sku, store_id, AVG(CASE WHEN promo_active = 1 THEN net_sales END) AS on_mean,
+          AVG(CASE WHEN promo_active = 0 THEN net_sales END) AS off_mean FROM every_row GROUP BY sku, store_id""",
+        "by_kind": "SELECT weighed, store_id, AVG(net_sales) AS weighed_group_mean, AVG(price) AS kind_price FROM every_row GROUP BY weighed, store_id",
+        "by_day": "SELECT store_id, sale_date, AVG(price) AS day_price FROM every_row WHERE future GROUP BY store_id, sale_date",
+        "by_store": """SELECT store_id, (RANK() OVER (ORDER BY mean) + (COUNT(*) OVER (PARTITION BY mean) - 1) / 2.0) / COUNT(*) OVER () AS store_rank
+          FROM (SELECT store_id, AVG(net_sales) AS mean FROM every_row GROUP BY store_id) t""",
+    }
+
+
+STATE_SQL = """SELECT t.*, COALESCE(before_1, med) AS lag_1, COALESCE(before_30, med) AS lag_30, COALESCE(before_90, med) AS lag_90,
+  COALESCE(price / NULLIF(sku_price, 0), 1) AS price_vs_sku_mean, sku_mean_discount, price - day_price AS price_dev_store_day,
+  off_mean AS promo_sales_mean, COALESCE(on_mean / NULLIF(off_mean, 0), 1) AS promo_effectiveness, weighed_group_mean,
+  CASE WHEN t.weighed = 1 THEN COALESCE(price / NULLIF(kind_price, 0), 0) ELSE 0 END AS price_ratio_weighed,
+  CASE WHEN t.weighed = 0 THEN COALESCE(price / NULLIF(kind_price, 0), 0) ELSE 0 END AS price_ratio_unit,
+  store_rank, t.sale_date - (SELECT MIN(sale_date) FROM loaded) AS days_since_start
+  FROM trended t JOIN by_sku USING (sku) JOIN by_pair USING (sku, store_id) JOIN by_kind k ON k.weighed = t.weighed AND k.store_id = t.store_id
+  JOIN by_day d ON d.store_id = t.store_id AND d.sale_date = t.sale_date JOIN by_store s ON s.store_id = t.store_id WHERE future"""
+
+
 # ---- streams -----------------------------------------------------------------
 
 def events(r):
@@ -221,27 +288,69 @@ def event_messages(events):
     return events.select("event_id", text.alias("message"))
 
 
+def _to_the_end(spark, result, name: str):
+    """Run a streaming query until its input ends, and read its result."""
+    path = new_path(spark, name)
+    query = (
+        result.writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", new_path(spark, f"{name}-log"))
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(result.schema).parquet(path)
+
+
 def _streamed(r, change, name: str):
-    """Run a streaming query over the table's files to the end, and read its result."""
+    """A streaming query over the table's files."""
     source = (
         r.spark.readStream.schema(r.table("events").schema)
         .option("pathGlobFilter", "events.parquet").parquet(r.folder)
     )
-    result = change(source)
-    path = new_path(r.spark, name)
-    query = (
-        result.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", new_path(r.spark, f"{name}-log"))
-        .outputMode("append").trigger(availableNow=True).start()
+    return _to_the_end(r.spark, change(source), name)
+
+
+# Micro-batches of the disordered stream, the most that an event is late, and how long rows wait.
+BATCHES, LATENESS, DELAY = 4, timedelta(hours=6), timedelta(hours=12)
+# The session of the event that closes the stream.
+CLOSING = -1
+
+
+def disordered(r) -> str:
+    """The events as files in order of arrival, up to ``LATENESS`` late; at the end comes one event of
+    a session of its own, later than all, which moves the watermark past them."""
+    late = F.pmod(F.xxhash64("event_id"), F.lit(int(LATENESS.total_seconds())))
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    rows = settle(events(r).withColumn("_arrival", at + late), "arrivals")
+    first, last = rows.agg(F.min("_arrival"), F.max("_arrival")).first()
+    step = ((last or 0) - (first or 0)) // BATCHES + 1
+    path = new_path(r.spark, "event-files")
+    for k in range(BATCHES):
+        batch = rows.where(F.floor((F.col("_arrival") - F.lit(first)) / step) == k).drop("_arrival")
+        batch.coalesce(1).write.mode("append").parquet(path)
+    end = rows.agg(F.max("ts").alias("ts")).select(
+        F.lit(CLOSING).cast("bigint").alias("user_id"), (F.col("ts") + F.expr("interval 10000 days")).alias("ts"),
+        F.lit(CLOSING).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"),
     )
-    query.awaitTermination()
-    return r.spark.read.schema(result.schema).parquet(path)
+    end.write.mode("append").parquet(path)
+    return path
+
+
+def _changes_stream(r, expiry: timedelta):
+    source = r.spark.readStream.schema(events(r).schema).option("maxFilesPerTrigger", 1).parquet(disordered(r))
+    result = messages.changes_only_stream(source, delay=DELAY, expiry=expiry)
+    return _dated(_to_the_end(r.spark, result, "changes").where(F.col("user_id") != CLOSING))
 
 
 CHANGES = "user_id ts_text event_id event_type"
 CHANGES_SQL = """SELECT *, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM (SELECT *,
   LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) t
   WHERE before IS NULL OR before <> event_type"""
+# A session idle for longer than this starts anew.
+IDLE = timedelta(hours=18)
+EXPIRY_SQL = """SELECT *, STRFTIME(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM (SELECT *,
+  LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before,
+  LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ts_before FROM events) t
+  WHERE before IS NULL OR before <> event_type OR ts - ts_before > INTERVAL 18 HOUR"""
 MESSAGES_SQL = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE 'v' || event_id END AS text
   FROM events WHERE event_type = 'click' AND event_id % 7 <> 0"""
 
@@ -332,6 +441,7 @@ QUERIES = {
     "forecast_future": Query(
         lambda r: jobs.forecast_future(model(r), r.loaded, r.holidays, r.promotions, 7)
     ),
+    "state_features": Query(_state_features, STATE_COLUMNS, STATE_SQL, _state_tables()),
     "batch_score": Query(
         lambda r: jobs.batch_score(lean(r), cases(r), r.loaded, r.holidays, r.promotions)
     ),
@@ -365,9 +475,11 @@ QUERIES = {
     "changes_only": Query(
         lambda r: _dated(messages.changes_only(events(r))), CHANGES, CHANGES_SQL
     ),
-    "changes_only_stream": Query(
-        lambda r: _dated(_streamed(r, messages.changes_only_stream, "changes")), CHANGES, CHANGES_SQL
+    "changes_only_stream": Query(lambda r: _changes_stream(r, timedelta(days=20_000)), CHANGES, CHANGES_SQL),
+    "changes_with_expiry": Query(
+        lambda r: _dated(messages.changes_only(events(r), expiry=IDLE)), CHANGES, EXPIRY_SQL
     ),
+    "changes_with_expiry_stream": Query(lambda r: _changes_stream(r, IDLE), CHANGES, EXPIRY_SQL),
     "json_messages": Query(lambda r: _messages(r.table("events")), "event_id text", MESSAGES_SQL),
     "json_messages_stream": Query(
         lambda r: _streamed(r, _messages, "messages"), "event_id text", MESSAGES_SQL

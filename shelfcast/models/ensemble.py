@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import not_negative
 from shelfcast.operators.target import apply_encoding, encoding_tables
+from shelfcast.sources import versions
 
 MEMBERS = ("gbt", "forest", "linear")
 DEFAULTS = {
@@ -199,25 +200,30 @@ class Ensemble:
     def importance(self, spark: SparkSession) -> DataFrame:
         return feature_importance(spark, self.prep.inputs(), self.members, self.deviations)
 
-    # One folder holds the whole bundle.
-    def save(self, spark: SparkSession, path: str) -> None:
+    # One folder holds the whole bundle, version by version.
+    def save(self, spark: SparkSession, root: str) -> str:
+        """Write a new version below ``root``. Until it is whole, readers get the one before; a
+        loaded bundle can be saved to the place it came from."""
+        return versions.commit(spark, root, lambda folder: self._write(spark, folder))
+
+    def _write(self, spark: SparkSession, path: str) -> None:
         prep = self.prep
-        prep.model.write().overwrite().save(f"{path}/prepare")
+        prep.model.write().save(f"{path}/prepare")
         for kind, model in self.members.items():
-            model.write().overwrite().save(f"{path}/member-{kind}")
+            model.write().save(f"{path}/member-{kind}")
         for name, table in prep.encodings.items():
-            table.write.mode("overwrite").parquet(f"{path}/encoding-{name}")
+            table.write.parquet(f"{path}/encoding-{name}")
         facts = {
             "features": prep.features, "categorical": prep.categorical, "encoded": prep.encoded,
             "overall": prep.overall, "members": list(self.members), "weights": list(self.weights),
             "params": self.params, "log_target": self.log_target, "deviations": self.deviations,
         }
         rows = [(k, json.dumps(v)) for k, v in facts.items()]
-        table = spark.createDataFrame(rows, "name string, value string")
-        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/facts")
+        spark.createDataFrame(rows, "name string, value string").coalesce(1).write.parquet(f"{path}/facts")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> Ensemble:
+    def load(spark: SparkSession, root: str) -> Ensemble:
+        path = versions.current(spark, root)
         facts = {r["name"]: json.loads(r["value"]) for r in spark.read.parquet(f"{path}/facts").collect()}
         kinds = {
             "gbt": "GBTRegressionModel", "forest": "RandomForestRegressionModel",

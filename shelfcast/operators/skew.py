@@ -220,13 +220,24 @@ def quantiles(
     by = list(keys) or ["_all"]
     if not keys:
         df = df.withColumn("_all", F.lit(0))
-    counts, size = settle_counted(
-        df.select(*by, value.alias("_v")).where(F.col("_v").isNotNull())
-        .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")),
-        "values",
-    )
+    counts = value_counts(df, by, value)
+    result = quantiles_of_counts(*settle_counted(counts, "values"), by, probs)
+    return result if keys else result.drop("_all")
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
+    """(keys, ``_v``, ``_c``): how often each known value stands in each group."""
+    value = F.col(value) if isinstance(value, str) else value
+    known = df.select(*keys, value.alias("_v")).where(F.col("_v").isNotNull())
+    return known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def quantiles_of_counts(
+    counts: DataFrame, size: int, by: list[str], probs: dict[str, float]
+) -> DataFrame:
+    """``quantiles`` from a written table of ``value_counts`` with ``size`` rows."""
     placed = running_sum(counts, by, ["_v"], "_c", "_upto", size)
-    if size <= tuning(df.sparkSession, HOT_ROWS):
+    if size <= tuning(counts.sparkSession, HOT_ROWS):
         placed = placed.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
     else:
         placed = with_stats(placed, by, counts, _n=F.sum("_c"))
@@ -240,8 +251,7 @@ def quantiles(
         low, part = at(F.floor(spot)), F.max(spot - F.floor(spot))
         return low + (at(F.ceil(spot)) - low) * part
 
-    result = placed.groupBy(*by).agg(*[pick(q).alias(name) for name, q in probs.items()])
-    return result if keys else result.drop("_all")
+    return placed.groupBy(*by).agg(*[pick(q).alias(name) for name, q in probs.items()])
 
 
 def average_rank(value: str, keys: Sequence[str] = ()) -> Column:

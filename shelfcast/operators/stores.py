@@ -20,7 +20,7 @@ def weighed_price_ratio(df: DataFrame, scope=(), source=None) -> DataFrame:
     """Price over the mean price of the store's weighed (unit) goods; 0 for the other kind."""
     df = with_stats(df, [*scope, "weighed", "store_id"], source, _mean=F.avg("price"))
     share = ratio(F.col("price"), F.col("_mean"), 0)
-    return _per_kind(df, "price_ratio", share).drop("_mean")
+    return per_kind(df, "price_ratio", share).drop("_mean")
 
 
 def weighed_quantile_scale(df: DataFrame, scope=(), source=None) -> DataFrame:
@@ -30,10 +30,10 @@ def weighed_quantile_scale(df: DataFrame, scope=(), source=None) -> DataFrame:
     width = F.col("_q75") - F.col("_q25")
     scaled = (F.col("net_sales") - F.col("_q25")) / F.when(width == 0, 1.0).otherwise(width)
     clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(scaled, F.lit(0.5))))
-    return _per_kind(df, "sales_scale", clipped).drop("_q25", "_q75")
+    return per_kind(df, "sales_scale", clipped).drop("_q25", "_q75")
 
 
-def _per_kind(df: DataFrame, name: str, value) -> DataFrame:
+def per_kind(df: DataFrame, name: str, value) -> DataFrame:
     return df.withColumns(
         {
             f"{name}_{kind}": F.when(F.col("weighed") == flag, value).otherwise(0.0)

@@ -23,15 +23,10 @@ from shelfcast.models.ensemble import (
 from shelfcast.models.prepare import feature_columns
 from shelfcast.models.search import search_params, trial_params
 from shelfcast.operators import quality, summary
-from shelfcast.operators.frames import (
-    batch_history,
-    future_grid,
-    future_rows,
-    last_attributes,
-    union_history_future,
-)
-from shelfcast.operators.target import last_date, split_date, train_test_split, winsorize_target
+from shelfcast.operators.frames import batch_history, union_history_future
+from shelfcast.operators.target import split_date, train_test_split, winsorize_target
 from shelfcast.plans.features import LEAN_FEATURES, OWN_TARGET, lean_features, wide_features
+from shelfcast.plans.state import FeatureState, grid_features
 from shelfcast.settings import settle
 from shelfcast.sources.files import write_result
 from shelfcast.sources.load import join_holidays, join_promotions
@@ -114,27 +109,36 @@ def lean_frame(loaded: DataFrame, holidays: DataFrame, promotions: DataFrame) ->
 
 # ---- future forecast ---------------------------------------------------------
 
-def forecast_future(
+def forecast_from_state(
     model: Ensemble,
-    loaded: DataFrame,
+    state: FeatureState,
     holidays: DataFrame,
     promotions: DataFrame,
     days: int = 30,
 ) -> DataFrame:
-    """Forecast per (SKU, store) and day for the ``days`` days after the last date."""
-    last = last_date(loaded)
-    attributes = last_attributes(loaded, ["price", "base_price", "weighed"])
-    grid = future_grid(loaded, days).join(attributes, "sku", "left").withColumn("promo_id", F.lit(0))
-    grid = join_promotions(join_holidays(grid, holidays), promotions)
-    rows = settle(union_history_future(loaded, grid), "rows")
-    features = wide_features(rows, holidays, promotions, exclude_current=True)
-    scored = model.predict(future_rows(features, last))
-    return scored.select(
+    """Forecast per (SKU, store) and day for the ``days`` days after the state's last date.
+
+    Reads the state and the grid only; the history is not needed.
+    """
+    features = grid_features(state, state.grid(holidays, promotions, days), holidays, promotions)
+    return model.predict(features).select(
         "sale_date", "sku", "store_id",
         forecast_value(F.col("predicted"), F.col("weighed")).alias("forecast"),
     )
 
 
+def forecast_future(
+    model: Ensemble,
+    loaded: DataFrame,
+    holidays: DataFrame,
+    promotions: DataFrame,
+    days: int = 30,
+) -> DataFrame:
+    """The forecast for callers without a stored state: one pass over the history makes it."""
+    state = FeatureState.build(loaded)
+    return forecast_from_state(model, state, holidays, promotions, days)
+
+
 # ---- scoring -----------------------------------------------------------------
 
 def complete_cases(cases: DataFrame, holidays: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -209,6 +213,8 @@ def run_forecast(
     train, test = train_test_split(frame, test_days)
     model = fit_ensemble(train, *wide_feature_lists(frame), trials=trials)
     model.save(spark, f"{folder}/model")
+    state = FeatureState.build(loaded)
+    state.save(spark, f"{folder}/state")
     scored = settle(evaluate(model, test), "scored")
     report = quality.report_table(
         scored, summary.season_weekday(frame), summary.season_month(frame),
@@ -217,7 +223,7 @@ def run_forecast(
     write_result(report, f"{folder}/report")
     write_result(quality.anomalies(frame), f"{folder}/anomalies", "parquet")
     if forecast_days > 0:
-        future = forecast_future(model, loaded, holidays, promotions, forecast_days)
+        future = forecast_from_state(model, state, holidays, promotions, forecast_days)
         write_result(future, f"{folder}/future_forecast")
     return {"model": model, "scored": scored, "report": report}
 

@@ -3,59 +3,168 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from shelfcast.operators.skew import ordered
 
 EVENT_ORDER = ["ts", "event_id"]
+# A session without events for this long is forgotten; its next value counts as a change.
+EXPIRY = timedelta(days=30)
+STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 # ---- changes -----------------------------------------------------------------
 
 def changes_only(
-    df: DataFrame, session: str = "user_id", value: str = "event_type", order=EVENT_ORDER
+    df: DataFrame, session: str = "user_id", value: str = "event_type", order=EVENT_ORDER,
+    expiry: timedelta | None = None,
 ) -> DataFrame:
-    """Rows whose value differs from the session's previous one (the first counts)."""
+    """Rows whose value differs from the session's previous one (the first counts).
+
+    With ``expiry``, a row later than that after the session's previous one counts as its first.
+    """
 
     def mark(d: DataFrame, w) -> DataFrame:
         same = F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.row_number().over(w) > 1)
+        if expiry is not None:
+            same &= F.lag(order[0]).over(w) >= F.col(order[0]) - _interval(expiry)
         return d.withColumn("_same", same)
 
     # A piece of a hot session starts with lead-in rows, so row 1 is the session's first.
     return ordered(df, [session], order, mark, 1).where(~F.col("_same")).drop("_same")
 
 
+def _interval(span: timedelta) -> Column:
+    return F.make_dt_interval(secs=F.lit(span.total_seconds()))
+
+
+# The event time in milliseconds travels with every row of the stream.
+MILLIS = "_ms"
+
+
+class _Changes(StatefulProcessor):
+    """One session: rows wait in a buffer until the watermark has passed them, and then go by in
+    order against the last value. Timers end the wait, and forget a session after ``expiry``."""
+
+    def __init__(self, names: list[str], value: str, order: list[str], kinds: dict[str, str], expiry: timedelta):
+        self.names, self.kinds, self.expiry = [*names, MILLIS], kinds, round(expiry.total_seconds() * 1000)
+        self.value, self.places = names.index(value), [names.index(c) for c in order]
+        self.kind = kinds[value]
+        self.whole = [kind in ("tinyint", "smallint", "int", "bigint") for kind in [*kinds.values(), "bigint"]]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        columns = ", ".join(f"`{c}` {kind}" for c, kind in self.kinds.items())
+        self.buffer = handle.getListState("buffer", f"{columns}, {MILLIS} bigint")
+        self.last = handle.getValueState("last", f"at bigint, value {self.kind}")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:  # one Arrow batch at a time: a busy session is never put together here
+            # Columns by place: frames of this operator do not keep every name.
+            frame = frame.iloc[:, : len(self.names)]
+            frame = frame[frame.iloc[:, -1].notna()]
+            if len(frame):
+                self.buffer.appendList([self._plain(row) for row in frame.itertuples(index=False, name=None)])
+                early = int(frame.iloc[:, -1].min())
+                first = early if first is None else min(first, early)
+        # One timer waits for the earliest row; one that waits for expiry is later and may stay.
+        if first is not None and not any(at <= first for at in self._timers()):
+            self.handle.registerTimer(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Let every row that the watermark has passed go by; none before it can come any more."""
+        now = timerValues.getCurrentWatermarkInMs()
+        ready, wait = [], []
+        for row in self.buffer.get():
+            (ready if row[-1] <= now else wait).append(tuple(row))
+        changed = []
+        if ready:
+            if wait:
+                self.buffer.put(wait)
+            else:
+                self.buffer.clear()
+            changed = self._pass(sorted(ready, key=self._place))
+        self._wake(now, min((row[-1] for row in wait), default=None))
+        if changed:
+            yield pd.DataFrame([row[:-1] for row in changed], columns=self.names[:-1])
+
+    def _pass(self, ready: list[tuple]) -> list[tuple]:
+        before = tuple(self.last.get()) if self.last.exists() else None
+        changed = []
+        for row in ready:
+            if before is None or row[-1] - before[0] > self.expiry or row[self.value] != before[1]:
+                changed.append(row)
+            before = (row[-1], row[self.value])
+        self.last.update(before)
+        return changed
+
+    def _wake(self, now: int, waiting: int | None) -> None:
+        """One timer: when the next row is due, or else when the session is to be forgotten."""
+        if waiting is not None:
+            self._only_timer(waiting)
+        elif self.last.exists():
+            end = tuple(self.last.get())[0] + self.expiry
+            if end <= now:
+                self.last.clear()
+            else:
+                self._only_timer(end)
+
+    def _only_timer(self, at: int) -> None:
+        for other in self._timers():
+            self.handle.deleteTimer(other)
+        self.handle.registerTimer(at)
+
+    def _timers(self) -> list[int]:
+        return list(self.handle.listTimers())
+
+    def _place(self, row: tuple) -> tuple:
+        return tuple((row[k] is not None, row[k]) for k in self.places)  # null first, as in a sort
+
+    def _plain(self, row: tuple) -> tuple:
+        """Values as the state keeps them; pandas has whole numbers with gaps as floats."""
+        return tuple(
+            None if pd.isna(x) else x.to_pydatetime() if isinstance(x, pd.Timestamp) else int(x) if whole else x
+            for x, whole in zip(row, self.whole)
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def keep_state(spark: SparkSession) -> None:
+    """Streams with timers need the state store on local disk with a checkpointed log."""
+    if "RocksDB" not in spark.conf.get(STORE, ""):
+        spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def changes_only_stream(
-    events: DataFrame, session: str = "user_id", value: str = "event_type", order=EVENT_ORDER
+    events: DataFrame, session: str = "user_id", value: str = "event_type", order=EVENT_ORDER,
+    delay: timedelta = timedelta(hours=1), expiry: timedelta = EXPIRY,
 ) -> DataFrame:
-    """Streaming form: the last value of a session is kept as state.
-
-    Rows are put in order inside a micro-batch; bound its size at the source
-    (``maxFilesPerTrigger``), because a session's new rows go through one task.
+    """Streaming form of ``changes_only(..., expiry=expiry)``: the same rows, in any order of arrival.
+
+    ``order[0]`` is the event time. A row may arrive up to ``delay`` after later ones: it waits in the
+    session's buffer until the watermark has passed it, and goes by in order. Rows later than that are
+    dropped and counted by Spark (``numRowsDroppedByWatermark``), as are rows without a time; nothing
+    already given out changes. A session's rows of the last ``delay`` are its state, and its last
+    value until ``expiry`` has passed without events. The last rows of a stream come out once a later
+    event moves the watermark beyond them.
     """
+    keep_state(events.sparkSession)
     schema = events.select(session, *order, value).schema
-    names = schema.names
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(frames), ignore_index=True)[names].sort_values(list(order))
-        current = rows[value].astype(object).where(rows[value].notna(), None)
-        known, last = state.get if state.exists else (False, None)
-        before = current.shift(1)
-        keep = (current != before) & ~(current.isna() & before.isna())
-        keep.iloc[0] = not known or current.iloc[0] != last
-        state.update((True, current.iloc[-1]))
-        yield rows[keep]
-
-    kind = schema[value].dataType.simpleString()
-    return (
-        events.select(*names).groupBy(session).applyInPandasWithState(
-            step, schema, f"known boolean, last {kind}", "append", GroupStateTimeout.NoTimeout
-        )
-    )
+    kinds = {f.name: f.dataType.simpleString() for f in schema}
+    by = _Changes(schema.names, value, list(order), kinds, expiry)
+    at = F.col(order[0]).cast("timestamp")
+    timed = events.select(*schema.names, F.unix_millis(at).alias(MILLIS), at.alias("_at"))
+    waiting = timed.withWatermark("_at", f"{round(delay.total_seconds() * 1000)} milliseconds")
+    return waiting.groupBy(session).transformWithStateInPandas(by, schema, "Append", "EventTime")
 
 
 # ---- messages ----------------------------------------------------------------
