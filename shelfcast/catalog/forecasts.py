@@ -174,10 +174,14 @@ def _member(kind: str):
     return run
 
 
-def _search(r):
-    trials = trial_params("linear", 2)
-    table, _ = search_params(matrix(r), "linear", trials, folds=3)
-    return table
+def _search(kind: str, trials: int = 2, folds: int = 3, halving: int = 1):
+    """Scores of a member's trials; trees stay as small as in the other queries."""
+
+    def run(r):
+        drawn = [{**t, **SMALL.get(kind, {})} for t in trial_params(kind, trials)]
+        return search_params(matrix(r), kind, drawn, folds, halving=halving)[0]
+
+    return run
 
 
 def _stored(r):
@@ -433,7 +437,10 @@ QUERIES = {
     "fit_member_1": Query(_member("gbt")),
     "fit_member_2": Query(_member("forest")),
     "fit_member_3": Query(_member("linear")),
-    "search_params": Query(_search),
+    "search_params": Query(_search("linear")),
+    "search_member_1": Query(_search("gbt")),
+    "search_member_2": Query(_search("forest")),
+    "search_halving": Query(_search("linear", trials=4, halving=2)),
     "model_store": Query(_stored),
     "feature_importance": Query(lambda r: model(r).importance(r.spark)),
     "score_rows": Query(_score_test),

@@ -61,9 +61,12 @@ def fit_ensemble(
     params: dict | None = None,
     trials: int = 0,
     folds: int = 5,
+    halving: int = 1,
 ) -> Ensemble:
     """Fit the members; weights come from the last days of the training rows.
 
+    With ``trials`` each member's parameters are searched first (see ``search_params``).
+
     The test rows take no part: early stopping and weights use the validation slice.
     """
     params = dict(params or {})
@@ -76,7 +79,7 @@ def fit_ensemble(
     frame = settle(frame, "matrix")
     early = frame.where(~F.col("_late"))
     for kind in kinds if trials else ():
-        _, params[kind] = search_params(early, kind, trial_params(kind, trials), folds)
+        _, params[kind] = search_params(early, kind, trial_params(kind, trials), folds, halving=halving)
     members = {k: fit_member(k, frame, params.get(k), "_late") for k in kinds}
     model = Ensemble(prep, members, (), params, True, feature_deviations(early))
     late = frame.where("_late").select("features", F.col(target).alias("_truth"))
@@ -205,13 +208,14 @@ def run_forecast(
     test_days: int = 30,
     forecast_days: int = 30,
     trials: int = 0,
+    halving: int = 1,
 ) -> dict:
     """Train, store, evaluate, report and forecast; results are written below ``folder``."""
     spark = loaded.sparkSession
     loaded = settle(loaded, "loaded")
     frame = model_frame(loaded, holidays, promotions)
     train, test = train_test_split(frame, test_days)
-    model = fit_ensemble(train, *wide_feature_lists(frame), trials=trials)
+    model = fit_ensemble(train, *wide_feature_lists(frame), trials=trials, halving=halving)
     model.save(spark, f"{folder}/model")
     state = FeatureState.build(loaded)
     state.save(spark, f"{folder}/state")

@@ -28,6 +28,8 @@ def build_session(app: str = "shelfcast", master: str | None = None, **conf: str
         # Join by hash instead of sorting when every partition measured at run time is small.
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Fits of a parameter search run at the same time and share the cores.
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     if master:

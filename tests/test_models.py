@@ -7,10 +7,13 @@ from shelfcast.catalog.forecasts import SMALL
 from shelfcast.catalog.rows import cases
 from shelfcast.models import ensemble as E
 from shelfcast.models.prepare import align_features, index_categories
+from shelfcast.models import search
 from shelfcast.models.search import draw, search_params, trial_params
+from shelfcast.operators.frames import ts_folds
 from shelfcast.operators.target import train_test_split
 from shelfcast.plans import jobs
 from shelfcast.schema import ORDER
+from shelfcast.settings import settle
 from shelfcast.sources.fixture import Retail
 
 
@@ -106,6 +109,65 @@ def test_search(trained):
     assert all(low <= draw({"s": (low, high, "log")}, random.Random(i))["s"] <= high for i in range(20))
 
 
+def _search_frame(trained):
+    model, _, train, _ = trained
+    return settle(model.prep.apply(train).select(*ORDER, "features", F.log1p("net_sales").alias(E.LABEL)))
+
+
+def _plain_loop(frame, kind, trials, folds):
+    """Every trial on every fold, one after the other."""
+    cut = settle(ts_folds(frame, folds))
+    means = []
+    for params in trials:
+        scores = []
+        for fold in range(1, folds + 1):
+            model = E.fit_member(kind, cut.where(F.col("fold") < fold), params)
+            error = F.expm1(f"_{kind}") - F.expm1(E.LABEL)
+            scores.append(model.transform(cut.where(F.col("fold") == fold)).agg(F.sqrt(F.avg(error * error))).first()[0])
+        means.append(sum(scores) / folds)
+    return trials[means.index(min(means))], means
+
+
+def test_search_side_by_side_equals_a_loop(trained):
+    frame, trials = _search_frame(trained), trial_params("linear", 4)
+    table, best = search_params(frame, "linear", trials, folds=3, parallel=4)
+    want, means = _plain_loop(frame, "linear", trials, 3)
+    assert best == want and table.count() == 12
+    got = {r["trial"]: r["m"] for r in table.groupBy("trial").agg(F.avg("score").alias("m")).collect()}
+    assert [got[n] for n in range(4)] == pytest.approx(means)
+
+
+@pytest.mark.parametrize("kind", E.MEMBERS)
+def test_halving_fits_less(trained, monkeypatch, kind):
+    frame, fits = _search_frame(trained), []
+    fit = search.fit_member
+    monkeypatch.setattr(search, "fit_member", lambda *a: fits.append(1) or fit(*a))
+    # Any of the bad trials loses on the first rung.
+    bad = {"linear": {"regParam": 1e6}, "gbt": {"maxIter": 1, "stepSize": 0.01, "maxDepth": 1}, "forest": {"numTrees": 1, "maxDepth": 1}}[kind]
+    good = {**trial_params(kind, 1)[0], **SMALL.get(kind, {}), **({"regParam": 1e-3} if kind == "linear" else {})}
+    table, best = search_params(frame, kind, [bad, good, bad, bad], folds=4, halving=2)
+    # Rungs: fold 1 for four trials, fold 2 for two, folds 3 and 4 for one.
+    assert len(fits) == table.count() == 4 + 2 + 2 and best in (bad, good)
+    last = [r["trial"] for r in table.where("fold = 4").collect()]
+    assert len(last) == 1 and [bad, good, bad, bad][last[0]] == best
+
+
+def test_rungs():
+    assert search.rungs(5, 1) == [[1, 2, 3, 4, 5]]
+    assert search.rungs(5, 2) == [[1], [2], [3, 4], [5]]
+    assert search.rungs(9, 3) == [[1], [2, 3], [4, 5, 6, 7, 8, 9]]
+    assert search.rungs(1, 2) == [[1]]
+
+
+def test_failed_fit_is_raised(spark):
+    def broken():
+        raise ValueError("no")
+
+    assert search.side_by_side(spark, [lambda n=n: n * n for n in range(9)], 3) == [n * n for n in range(9)]
+    with pytest.raises(ValueError):
+        search.side_by_side(spark, [lambda: 1, broken, lambda: 2], 2)
+
+
 def test_forecast_future(trained, retail):
     model = trained[0]
     got = jobs.forecast_future(model, retail.loaded, retail.holidays, retail.promotions, 2)
