@@ -23,8 +23,9 @@ from shelfcast.llm import tokens
 BUCKET_BYTES = 16 << 20
 
 
-def word_table(rows: DataFrame, path: str) -> DataFrame:
-    """(chunk, bucket, ids) for packed words: each distinct word of a bucket is encoded once."""
+def word_table(rows: DataFrame, path: str, buckets: int) -> DataFrame:
+    """(chunk, bucket, ids) for packed words: each distinct word of a bucket is encoded once. There are
+    as many partitions as buckets, which follow the size of the texts."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
@@ -53,7 +54,7 @@ def word_table(rows: DataFrame, path: str) -> DataFrame:
             data = press.compress(np.int64(len(words)).tobytes() + C.planes(n) + C.planes(flat[take]))
             yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([bucket]), pa.array([data], pa.binary())], ["chunk", "bucket", "ids"])
 
-    dealt = rows.repartition(F.col("bucket")).sortWithinPartitions("bucket")
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
     return dealt.mapInArrow(encode, "chunk long, bucket long, ids binary")
 
 
@@ -68,7 +69,7 @@ def _open_ids(right: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
         ids.append(C.from_planes(data, (len(data) - 8) // 4 - count, 8 + 4 * count))
     lengths = np.concatenate(lengths).astype(np.int64)
     if len(lengths) != words:
-        raise RuntimeError("a chunk was read differently the second time; write the documents to a table first")
+        raise RuntimeError(C.DIFFERENT)
     return np.concatenate(ids), np.concatenate([[0], np.cumsum(lengths)])
 
 
@@ -111,6 +112,7 @@ def encode(
     output row per input row; other columns are ignored; an empty table gives an empty table.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = C.steady(rows)
     splitter = lambda data, offsets: tokens.split(data, offsets, path)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -149,7 +151,7 @@ def encode(
     kinds = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "id long, n_tokens long, ids array<int>, decoded string"
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    table = word_table(C.packed_words(rows, splitter, buckets), path)
+    table = word_table(C.packed_words(rows, splitter, buckets), path, buckets)
     return C.join_back(C.code_rows(rows, splitter, buckets=buckets), table, finish, kinds)
 
 

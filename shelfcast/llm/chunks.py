@@ -1,8 +1,12 @@
 """Distinct-word tables: texts as word codes per chunk, and each chunk's distinct words.
 
 A chunk is a run of input rows with a bounded number of text bytes. It is made twice from the same
-scan: once as its distinct words, which travel to wherever a word is resolved, and once as
+rows: once as its distinct words, which travel to wherever a word is resolved, and once as
 compressed codes that wait for the answers. A word travels once per chunk, not once per use.
+
+The two readings must agree. Words are numbered by their hashes, not by their place in the chunk, and
+a chunk's number is a hash of its words: another set of words is another chunk, whose codes then find
+no answers, and the job fails. Rows that are not read plainly from files are written first (``steady``).
 """
 
 from __future__ import annotations
@@ -16,12 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from shelfcast.llm import words as W
+from shelfcast.settings import settle
 
 # Text bytes of a chunk (a longer single text is a chunk of its own).
 CHUNK_BYTES = 16 << 20
 # Rows per Arrow batch that leave a task.
 OUT_ROWS = 20_000
 
+DIFFERENT = "a chunk was read differently the second time; write the documents to a table first"
+
 Splitter = Callable[[np.ndarray, np.ndarray], W.Words]
 
 
@@ -47,9 +54,23 @@ class Chunk:
         self.columns.append(columns)
         self.size += len(block.data)
 
+    def close(self) -> None:
+        """Number the words by their hashes."""
+        value = np.fromiter(self.seen, np.uint64, len(self.seen))
+        order = np.argsort(value)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        self.values, self.codes = value[order], [rank[c] for c in self.codes]
+        self.words = [self.words[k] for k in order.tolist()]
+
+    def number(self, place: int) -> int:
+        """A hash of the chunk's place and of its words."""
+        mark = np.bitwise_xor.reduce(W.mix(self.values + np.uint64(1)), initial=np.uint64(len(self.values)))
+        return int(W.mix(W.mix(np.array([place + 1], np.uint64)) ^ mark).view(np.int64)[0])
+
     def by_bucket(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket of every distinct word, and the words' order by bucket (then by first use)."""
-        bucket = (np.fromiter(self.seen, np.uint64, len(self.seen)) % np.uint64(buckets)).astype(np.int64)
+        """Bucket of every distinct word, and the words' order by bucket (then by hash)."""
+        bucket = (self.values % np.uint64(buckets)).astype(np.int64)
         return bucket, np.argsort(bucket, kind="stable")
 
     def read(self) -> tuple[np.ndarray, np.ndarray, pa.Table]:
@@ -58,19 +79,37 @@ class Chunk:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], splitter: Splitter, lower: bool) -> Iterator[tuple[int, Chunk]]:
-    """Chunks of a task's rows (the text is the last column), numbered by partition and place."""
+    """Chunks of a task's rows (the text is the last column), each with its number."""
     base, place, chunk = TaskContext.get().partitionId() << 24, 0, Chunk(lower)
+
+    def ready() -> tuple[int, Chunk]:
+        chunk.close()
+        return chunk.number(base + place), chunk
+
     for batch in batches:
         data, offsets = W.plain(batch.column(batch.num_columns - 1))
         others = batch.select(list(range(batch.num_columns - 1)))
         for a, b in W.ranges(offsets):
             if chunk.size and chunk.size + offsets[b] - offsets[a] > CHUNK_BYTES:
-                yield base + place, chunk
+                yield ready()
                 place, chunk = place + 1, Chunk(lower)
             block = splitter(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             chunk.add(block, others.slice(a, b - a))
     if chunk.columns:
-        yield base + place, chunk
+        yield ready()
+
+
+def steady(rows: DataFrame) -> DataFrame:
+    """Rows that every reading gives alike: columns of files as they are, anything else written once."""
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    return rows if plan.deterministic() and _plain(plan) else settle(rows, "rows")
+
+
+def _plain(plan) -> bool:
+    name, parts = plan.nodeName().split("(")[0].strip(), plan.children()
+    if parts.isEmpty():
+        return name in ("LogicalRelation", "DataSourceV2ScanRelation", "RelationV2")
+    return name in ("Project", "Filter") and all(_plain(parts.apply(k)) for k in range(parts.size()))
 
 
 def word_rows(docs: DataFrame, splitter: Splitter, lower: bool = False, train_col: bool = False) -> DataFrame:
@@ -173,6 +212,8 @@ def code_rows(docs: DataFrame, splitter: Splitter, lower: bool = False, buckets:
 
 def open_codes(left: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table, int]:
     """Codes, words per row, the rows' columns and the number of distinct words of a chunk."""
+    if left.num_rows != 1:
+        raise RuntimeError(DIFFERENT)
     open_ = zstandard.ZstdDecompressor()
     data = open_.decompress(left.column("codes")[0].as_py())
     codes = from_planes(data, len(data) // 4).view(np.int32)
@@ -185,7 +226,7 @@ def answers(right: pa.Table, column: str, words: int) -> pa.Array:
     """A column of the answers of one chunk, by code; every distinct word must have one."""
     code = right.column("code").combine_chunks().to_numpy()
     if len(code) != words or (words and not (np.bincount(code, minlength=words) == 1).all()):
-        raise RuntimeError("a chunk was read differently the second time; write the documents to a table first")
+        raise RuntimeError(DIFFERENT)
     place = np.empty(words, np.int64)
     place[code] = np.arange(words)
     return right.column(column).combine_chunks().take(pa.array(place))

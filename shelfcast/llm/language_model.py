@@ -319,6 +319,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text")
     ).withColumn("train", ~F.col("held_out")).select("id", "held_out", "train", "text")
+    rows = C.steady(rows)
     word = Window.partitionBy("word")
     counted = C.word_rows(rows, W.split, lower=True, train_col=True).select(
         "*", F.sum("n").over(word).alias("c"), F.row_number().over(word.orderBy("chunk")).alias("place")
