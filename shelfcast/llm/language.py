@@ -141,15 +141,17 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
 def predict(
     docs: DataFrame, model: Profiles, lang: str = "lang_pred", score: str = "score", text_col: str = "text", more: tuple[str, str] | None = None
 ) -> DataFrame:
-    """``docs`` with the predicted language and a score from 0 to 1, both new column names, and with the
-    largest cosine and the number of letters if two columns are named for them (``more``).
+    """``docs`` with the predicted language and a score from 0 to 1, and with the largest cosine and the
+    number of letters if two columns are named for them (``more``). Columns of these names are replaced.
 
     The language is ``und`` with score 0 for null texts, texts without a letter, and where nothing
     was learned. Ties go to the language whose name comes first. All other columns stay as they are;
     an empty table stays empty.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES vectors
-    names, new = docs.columns, [lang, score, *(more or ())]
+    new = [lang, score, *(more or ())]
+    docs = docs.drop(*new)
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

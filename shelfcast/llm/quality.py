@@ -55,12 +55,7 @@ class Neighbours:
     prior: float
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.weights
-        # Words and shapes weigh the same.
-        for part in (x[:, :WORD_SLOTS], x[:, WORD_SLOTS:]):
-            part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
-        x = x @ self.directions
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        return _unit(_weighted(counts.copy(), self.weights) @ self.directions)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
@@ -74,23 +69,39 @@ class Neighbours:
         return np.where(counts.any(axis=1), score, self.prior)
 
 
-def _weights_and_directions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    used = (counts > 0).sum(axis=0)
-    model = Neighbours(np.log((1 + len(counts)) / (1.0 + used)).astype(np.float32) + np.float32(0.1), None, None, None, 0.0)
-    x = np.log1p(counts) * model.weights
-    for part in (x[:, :WORD_SLOTS], x[:, WORD_SLOTS:]):
-        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def _weighted(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Counts to weighted terms, in place and some rows at a time; words and shapes weigh the same."""
+    for k in range(0, len(counts), BLOCK_ROWS):
+        x = counts[k : k + BLOCK_ROWS]
+        np.log1p(x, out=x)
+        x *= weights
+        for part in (x[:, :WORD_SLOTS], x[:, WORD_SLOTS:]):
+            part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
+    return counts
+
+
+def _latent(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weights, directions, vectors) of the sample. ``counts`` is used up: the one table of this size."""
+    used = np.count_nonzero(counts, axis=0)
+    weights = np.log((1 + len(counts)) / (1.0 + used)).astype(np.float32) + np.float32(0.1)
+    x = _weighted(counts, weights)
     # Randomised truncated SVD with three power steps.
     rank = min(DIMS, min(x.shape))
     span = x @ np.random.default_rng(7).standard_normal((x.shape[1], rank + 16)).astype(np.float32)
     for _ in range(3):
         span = x @ (x.T @ np.linalg.qr(span)[0])
     base = np.linalg.qr(span)[0]
-    return model.weights, np.linalg.svd(base.T @ x, full_matrices=False)[2][:rank].T.copy()
+    directions = np.linalg.svd(base.T @ x, full_matrices=False)[2][:rank].T.copy()
+    return weights, directions, _unit(x @ directions)
 
 
 def fit(rows: DataFrame, text_col: str = "text", label_col: str = "label", max_rows: int = MAX_ROWS) -> Neighbours:
-    """Fit on at most about ``max_rows`` rows with label 0 or 1, chosen by a hash of the whole row.
+    """Fit on at most ``max_rows`` rows with label 0 or 1, chosen by a hash of the whole row. No row gives
+    a model that scores everything 0.5; ties among the hashes are broken by the label.
 
     So copies of a text under different ids are chosen one by one. Rows that are equal throughout count once.
     """
@@ -114,22 +125,26 @@ def fit(rows: DataFrame, text_col: str = "text", label_col: str = "label", max_r
     share = min(1.0, max_rows / total)
     chosen = rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(*rows.columns, F.lit(11)).alias("mark"))
     chosen = chosen.filter(F.pmod("mark", F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    sample = chosen.mapInArrow(W.tidy(count), "label int, mark long, at binary, value binary").dropDuplicates(["mark", "label"]).orderBy("mark", "label").limit(2 * max_rows).collect()
+    sample = chosen.mapInArrow(W.tidy(count), "label int, mark long, at binary, value binary").dropDuplicates(["mark", "label"]).orderBy("mark", "label").limit(max_rows).collect()
     table = np.zeros((len(sample), slots), np.float32)
     for row, r in zip(table, sample):
         row[np.frombuffer(bytes(r["at"]), np.int32)] = np.frombuffer(bytes(r["value"]), np.float32)
-    weights, directions = _weights_and_directions(table) if len(sample) else (np.ones(slots, np.float32), np.zeros((slots, 1), np.float32))
-    model = Neighbours(weights, directions, None, np.array([r["label"] for r in sample], np.float64), prior)
-    model.vectors = model.project(table)
-    return model
+    labels = np.array([r["label"] for r in sample], np.float64)
+    del sample
+    if not len(labels):
+        return Neighbours(np.ones(slots, np.float32), np.zeros((slots, 1), np.float32), np.zeros((0, 1), np.float32), labels, prior)
+    weights, directions, vectors = _latent(table)
+    return Neighbours(weights, directions, vectors, labels, prior)
 
 
 def score(docs: DataFrame, model: Neighbours, name: str = "score", text_col: str = "text") -> DataFrame:
-    """``docs`` with the score of label 1 (0 to 1) in column ``name``, which must be new.
+    """``docs`` with the score of label 1 (0 to 1) in column ``name``; a column of that name is replaced.
 
     All other columns stay as they are. Null, empty and wordless texts score the share of label 1 among
-    the labelled rows (0.5 without any). An empty table stays empty.
+    the labelled rows (0.5 without any). Whole texts count, however long; of equally near neighbours at the
+    limit any may vote. Repeated rows score alike; an empty table stays empty.
     """
+    docs = docs.drop(name)
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_ROWS vectors
     names = docs.columns
 
