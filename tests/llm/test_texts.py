@@ -317,3 +317,125 @@ def test_quality_sample_beside_a_hot_text(spark):
     rows = hot_rows(spark, min(found)[1], [(plain(rng), 1) for _ in range(600)])
     model = quality.fit(rows, max_rows=200)
     assert 100 < len(model.labels) < 300 and 20 < model.labels.sum() < 90
+
+
+def test_toxicity_against_counts(spark, make):
+    """Ratios of all words, and the sums of a text, against plain counting."""
+    rng = random.Random(2)
+    common = [f"c{k}" for k in "abcdefghij"]
+    rows = []
+    for k in range(300):
+        text = [rng.choice(common) for _ in range(rng.randrange(30))] + [f"once{'xyz'[k % 3]}{chr(97 + k % 26)}"]
+        if k % 4 == 0:
+            text += rng.choices(["Venom", "venom", "spite", "c\u00f6"], k=rng.randrange(4))
+        rows.append((k, " ".join(text), int(k % 4 == 0)))
+    frame = spark.createDataFrame(rows, "id long, text string, label int").repartition(5)
+    queries.ready(spark)
+    seen = [Counter(), Counter()]
+    split = lambda t: [w.lower() for w in re.findall("[A-Za-z\u0080-\U0010ffff]+", t)]
+    for _, text, label in rows:
+        seen[label].update(set(split(text)))
+    n0, n1 = 225, 75
+    want = {}
+    for word in {*seen[0], *seen[1]}:
+        c0, c1 = seen[0][word], seen[1][word]
+        both, share = c0 + c1, n1 / 300
+        expected = both * share
+        spread = 5 * math.sqrt(max(both * share * (1 - share), 0.25))
+        beyond = math.copysign(max(abs(c1 - expected) - spread, 0), c1 - expected)
+        if beyond:
+            want[word] = math.log((expected + beyond + 0.25 * share) / n1) - math.log((both - expected - beyond + 0.25 * (1 - share)) / n0)
+    model = toxicity.fit(frame)
+    assert set(want) >= {"venom", "spite"} and model.count == len(want)
+    assert sorted(r.ratio for r in model.terms.collect()) == pytest.approx(sorted(want.values()))
+    got = {r.id: r for r in toxicity._sums(frame, model, "s", "n").collect()}
+    for k, text, _ in rows:
+        assert (got[k].n, got[k].s) == (len(split(text)), pytest.approx(sum(want.get(w, 0) for w in split(text))))
+
+
+def test_toxicity_in_several_passes(spark, monkeypatch):
+    """More words than are broadcast at a time are summed block by block, with the same scores."""
+    queries.ready(spark)
+    rows = spark.createDataFrame([(k, f"plain text {'bad worse worst evil' if k % 3 == 0 else 'good better best kind'}", int(k % 3 == 0)) for k in range(120)], "id long, text string, label int")
+    model = toxicity.fit(rows)
+    assert model.count == 8
+    once = {r.id: r.score for r in toxicity.score(rows, model).collect()}
+    monkeypatch.setattr(toxicity, "AT_ONCE", 3)
+    again = {r.id: r.score for r in toxicity.score(rows, model).collect()}
+    assert once == pytest.approx(again) and once[0] > 0.9 > 0.1 > once[1]
+
+
+def test_columns_of_the_result_are_replaced(spark, make, odd_rows):
+    docs = make([(i, t, "de") for i, t in odd_rows]).withColumn("lang_pred", folds.held_out("doc_id", 4, 2))
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    known = folds.labelled(docs, labels, "quality", 4, 2)
+    for found in (quality.score(docs, quality.fit(known)), toxicity.score(docs, toxicity.fit(known)), language.predict(docs, language.fit(docs))):
+        rows = found.collect()
+        assert len(rows) == len(odd_rows) and all(isinstance(r.score, float) and r.row == "z" for r in rows)
+    assert {type(r.lang_pred) for r in rows} == {str}
+
+
+def test_labelled_ids_are_bounded_and_texts_not_shuffled(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    found = folds.labelled(docs, labels, "quality", 4, 2, most=50)
+    assert found.count() == 50
+    assert sorted(r.id for r in found.select("id").collect()) == sorted(r.id for r in folds.labelled(docs.repartition(7), labels.repartition(3), "quality", 4, 2, most=50).select("id").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = folds.labelled(docs, labels, "quality", 4, 2)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def unsteady(rows):
+    """The same rows in another order at every reading."""
+
+    def shuffle(batches):
+        table = pa.Table.from_batches(batches)
+        order = np.random.default_rng().permutation(table.num_rows)
+        yield from table.take(pa.array(order)).to_batches(max_chunksize=50)
+
+    return rows.select("doc_id", "text").mapInArrow(shuffle, "doc_id long, text string")
+
+
+def test_rows_in_another_order_at_every_reading(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").coalesce(1)
+    docs = docs.unionByName(docs.selectExpr("doc_id + 100000 as doc_id", "concat(text, ' tail') as text")).coalesce(1)
+    want = {r.id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.encode(docs, PATH, digests=True).collect()}
+    got = {r.id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.encode(unsteady(docs), PATH, digests=True).collect()}
+    assert got == want
+    held = folds.held_out("doc_id", 10, 0)
+    want = {r.id: (r.n_tokens, r.n_known, r.base_score) for r in language_model.score(docs, held).collect()}
+    got = {r.id: (r.n_tokens, r.n_known, r.base_score) for r in language_model.score(unsteady(docs), held).collect()}
+    assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
+    assert all(got[k][2] == pytest.approx(want[k][2]) for k in want)
+
+
+def test_a_different_second_reading_fails(spark, monkeypatch):
+    """Without the written copy: words are numbered by content, so one chunk is right in any order;
+    chunks that hold other words the second time find no answers."""
+    queries.ready(spark)
+    monkeypatch.setattr(bpe.C, "steady", lambda rows: rows)
+    small = spark.createDataFrame([(k, f"word{k} shared text {k % 7}") for k in range(300)], "doc_id long, text string").coalesce(1)
+    want = {r.id: r.ids for r in bpe.encode(small, PATH).collect()}
+    assert {r.id: r.ids for r in bpe.encode(unsteady(small), PATH).collect()} == want
+    large = spark.range(0, 60, 1, 1).selectExpr("id as doc_id", "repeat(concat('word', id, ' and '), 50000) as text")
+    with pytest.raises(Exception, match="read differently"):
+        bpe.encode(unsteady(large), PATH).count()
+
+
+def test_stage_keeps_unrelated_texts_of_one_id(spark, make):
+    from conftest import words
+
+    one, two, three = (" ".join(words(k, 120)) for k in (50, 51, 52))
+    docs = make([(1, one), (1, two), (1, two), (2, two + " more"), (3, three), (None, three), (None, one + " x")])
+    kept = corpus_pipeline.keep_distinct(spark, docs, FOLDER).collect()
+    texts = sorted(r.text for r in kept)
+    assert len(texts) == 3 and {t.split()[0] for t in texts} == {t.split()[0] for t in (one, two, three)}
+
+
+def test_pack_stage_on_odd_rows(spark, make, odd_rows):
+    docs = make(odd_rows)
+    pieces = corpus_pipeline.pack(spark, docs.select(*corpus_pipeline.COLUMNS), FOLDER).collect()
+    total = sum(len(library_ids(t)) + 1 for _, t in odd_rows)
+    assert sum(r.length for r in pieces) == total
+    assert not corpus_pipeline.pack(spark, make([]).select(*corpus_pipeline.COLUMNS), FOLDER).count()
