@@ -111,42 +111,62 @@ def encode_words(path: str, words: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+class Generation:
+    """Words with their ids: sorted hashes, and per word a range of the flat ids."""
+
+    def __init__(self):
+        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.bounds, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' slots, and whether they are here."""
+        if not len(self.keys):
+            return np.zeros(len(value), np.int64), np.zeros(len(value), bool)
+        place = np.minimum(np.searchsorted(self.keys, value), len(self.keys) - 1)
+        return self.at[place], self.keys[place] == value
+
+    def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in these slots, joined, and the number of each word."""
+        begin, length = self.bounds[slots], self.bounds[slots + 1] - self.bounds[slots]
+        stop = np.cumsum(length)
+        return self.flat[np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(begin - (stop - length), length)], length
+
+    def add(self, value: np.ndarray, flat: np.ndarray, length: np.ndarray) -> None:
+        """Take in words that are not here yet."""
+        slots = np.arange(len(self.bounds) - 1, len(self.bounds) - 1 + len(value))
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(length)])
+        self.flat = np.concatenate([self.flat, flat])
+        order = np.argsort(value)
+        place = np.searchsorted(self.keys, value[order])
+        self.keys, self.at = np.insert(self.keys, place, value[order]), np.insert(self.at, place, slots[order])
+
+
 class WordCache:
-    """Ids of words seen by this Python worker, at most ``limit``: sorted hashes and flat ids."""
+    """Ids of words seen by this Python worker, about ``limit`` words in two generations.
 
-    def __init__(self, path: str, limit: int = 400_000):
-        self.path, self.limit = path, limit
-        self.clear()
+    Words used again move on to the young generation; when it is full, it becomes the old one and the
+    old one goes. So frequent words stay, and only those that did not come up for long are forgotten.
+    """
 
-    def clear(self) -> None:
-        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.bounds, self.parts, self.held = [np.zeros(1, np.int64)], [], 0
-        self._flat = (np.zeros(1, np.int64), np.zeros(0, np.uint32))
+    def __init__(self, path: str, limit: int = 1_500_000):
+        self.path, self.limit = path, limit
+        self.young, self.old = Generation(), Generation()
 
     def ids(self, block: W.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, joined, and the texts' bounds in them."""
         value, first, code = np.unique(block.hashes(), return_index=True, return_inverse=True)
-        if len(self.keys) + len(value) > self.limit:
-            self.clear()
-        at = np.minimum(np.searchsorted(self.keys, value), max(0, len(self.keys) - 1))
-        known = self.keys[at] == value if len(self.keys) else np.zeros(len(value), bool)
-        new = np.flatnonzero(~known)
+        if len(self.young.keys) + len(value) > self.limit // 2:
+            self.young, self.old = Generation(), self.young
+        new = np.flatnonzero(~self.young.find(value)[1])
         if len(new):
-            self._add(value[new], encode_words(self.path, block.texts(first[new])))
-        bounds, flat = self._flat
-        slot = self.at[np.searchsorted(self.keys, value)][code]
-        begin, length = bounds[slot], bounds[slot + 1] - bounds[slot]
-        stop = np.cumsum(length)
-        take = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(begin - (stop - length), length)
-        return flat[take], np.concatenate([[0], stop])[block.bounds]
-
-    def _add(self, value: np.ndarray, ids: list[np.ndarray]) -> None:
-        bounds, flat = self._flat
-        more = bounds[-1] + np.cumsum([len(x) for x in ids])
-        slots = np.arange(len(bounds) - 1, len(bounds) - 1 + len(ids))
-        self._flat = (np.concatenate([bounds, more]), np.concatenate([flat, *ids]))
-        order = np.searchsorted(self.keys, value)
-        self.keys, self.at = np.insert(self.keys, order, value), np.insert(self.at, order, slots)
+            slots, known = self.old.find(value[new])
+            flat, length = self.old.ids(slots[known])
+            coded = encode_words(self.path, block.texts(first[new[~known]]))
+            more = np.array([len(x) for x in coded], np.int64)
+            order = np.concatenate([new[known], new[~known]])
+            self.young.add(value[order], np.concatenate([flat, *coded]), np.concatenate([length, more]))
+        flat, length = self.young.ids(self.young.find(value)[0][code])
+        return flat, np.concatenate([[0], np.cumsum(length)])[block.bounds]
 
 
 @lru_cache(maxsize=2)

@@ -439,3 +439,14 @@ def test_pack_stage_on_odd_rows(spark, make, odd_rows):
     total = sum(len(library_ids(t)) + 1 for _, t in odd_rows)
     assert sum(r.length for r in pieces) == total
     assert not corpus_pipeline.pack(spark, make([]).select(*corpus_pipeline.COLUMNS), FOLDER).count()
+
+
+def test_word_cache_generations():
+    """Ids stay right while words are forgotten, kept and met again."""
+    rng, cache = random.Random(6), tokens.WordCache(PATH, limit=120)
+    for round_ in range(40):
+        texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(round_ * 10 + 5)}", "x\ny"]) for _ in range(15)) for _ in range(3)]
+        data, offsets = W.plain(pa.array(texts))
+        ids, bounds = cache.ids(tokens.split(data, offsets, PATH))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [library_ids(t) for t in texts]
+        assert len(cache.young.keys) <= 120
