@@ -2,8 +2,12 @@
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from shelfcast.functions.columns import ratio
 from shelfcast.operators.skew import attach, ordered, quantiles
@@ -58,59 +62,76 @@ def rolling_columns(
 ) -> DataFrame:
     """Statistics over the last n rows, skipping NULLs; all share one sort.
 
-    Medians sort one collected list per row (the longest window) instead of running
-    an exact percentile aggregate per window.
+    A sliding frame of Spark adds up all its rows again for every row. So where medians are wanted, a
+    frame only lists the longest window's values, and ``window_statistics`` takes everything
+    from whole Arrow batches of those lists, sorted once per width.
     """
     names = {"mean": "ma", **(names or {})}
     name = lambda stat, n: f"{names.get(stat, stat)}_{n}"
-    plain = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "count": F.count}
+    if "median" in stats:
+        # NULLs become NaN: a list would leave them out, and the last n rows could not be told.
+        value = F.coalesce(F.col(target).cast("double"), F.lit(float("nan")))
+        d = d.withColumn("_recent", F.collect_list(value).over(_frame(w, max(windows), exclude_current)))
+        d = d.withColumn("_found", window_statistics(windows, stats)(F.col("_recent")))
+        found = {name(s, n): F.col(f"_found.{s}_{n}") for n in windows for s in stats}
+        return d.withColumns(found).drop("_recent", "_found")
+    plain = {
+        "sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "count": F.count,
+        "std": lambda c: F.stddev_samp(c),
+    }
     out: dict[str, Column] = {}
-    # The sorted values kept for medians also give the extremes.
-    from_sorted = {"median", "max", "min"} if "median" in stats else set()
     for n in windows:
-        frame = _frame(w, n, exclude_current)
         for stat in stats:
-            if stat in plain and stat not in from_sorted:
-                out[name(stat, n)] = plain[stat](target).over(frame)
-            elif stat == "std":
-                out[name(stat, n)] = F.coalesce(F.stddev_samp(target).over(frame), F.lit(0.0))
-            elif stat == "median":
-                out[f"_known_{n}"] = F.count(target).over(frame)
-    if "median" in stats:
-        # NULLs become NaN, which sorts last, so positions below the count are real values.
-        value = F.coalesce(F.col(target), F.lit(float("nan")))
-        out["_recent"] = F.collect_list(value).over(_frame(w, max(windows), exclude_current))
-    d = d.withColumns(out)
-    if "median" in stats:
+            value = plain[stat](target).over(_frame(w, n, exclude_current))
+            out[name(stat, n)] = F.coalesce(value, F.lit(0.0)) if stat == "std" else value
+    return d.withColumns(out)
+
+
+def _statistic(stat: str, ordered_: np.ndarray, known: np.ndarray, total: np.ndarray) -> pa.Array:
+    """One statistic per row of sorted values (missing ones last), of which ``known`` are there."""
+    at = lambda k: np.take_along_axis(ordered_, np.maximum(k, 0)[:, None], axis=1)[:, 0]
+    if stat == "count":
+        return pa.array(known)
+    if stat == "std":
+        mean = total / np.maximum(known, 1)
+        square = np.nansum((ordered_ - mean[:, None]) ** 2, axis=1)
+        return pa.array(np.where(known > 1, np.sqrt(square / np.maximum(known - 1, 1)), 0.0))
+    value = {
+        "sum": lambda: total,
+        "mean": lambda: total / np.maximum(known, 1),
+        "max": lambda: at(known - 1),
+        "min": lambda: at(0 * known),
+        "median": lambda: (at((known - 1) // 2) + at(known // 2)) / 2,
+    }[stat]()
+    return pa.array(value, mask=known == 0)
+
+
+def window_statistics(windows: Sequence[int], stats: Sequence[str]):
+    """Arrow function from lists of the latest values (oldest first, NaN for missing) to a struct with
+    ``<stat>_<n>`` over the last n values of each list; null (a deviation or count: 0) without any."""
+    names = [f"{s}_{n}" for n in windows for s in stats]
+    kinds = [LongType() if s == "count" else DoubleType() for _ in windows for s in stats]
+    width, block = max(windows), 8192
+
+    def run(recent: pa.Array) -> pa.Array:
+        parts = [solve(recent.slice(k, block)) for k in range(0, max(len(recent), 1), block)]
+        return pa.concat_arrays(parts)
+
+    def solve(recent: pa.Array) -> pa.Array:
+        offsets, values = recent.offsets.to_numpy(), recent.values.to_numpy(zero_copy_only=False)
+        # Lists side by side, aligned at their ends.
+        place = offsets[1:, None] - np.arange(width, 0, -1)
+        inside = place >= offsets[:-1, None]
+        table = np.where(inside, values[np.where(inside, place, 0)] if len(values) else np.nan, np.nan)
+        columns = []
         for n in windows:
-            d = d.withColumn(f"_sorted_{n}", _sorted_last(F.col("_recent"), n))
-        picks = {"median": _middle, "max": _highest, "min": _lowest}
-        d = d.withColumns(
-            {
-                name(stat, n): picks[stat](F.col(f"_sorted_{n}"), F.col(f"_known_{n}"))
-                for n in windows for stat in stats if stat in from_sorted
-            }
-        ).drop("_recent", *[f"{c}_{n}" for n in windows for c in ("_known", "_sorted")])
-    return d
-
-
-def _sorted_last(recent: Column, n: int) -> Column:
-    return F.sort_array(F.slice(recent, F.greatest(F.size(recent) - n + 1, F.lit(1)), F.lit(n)))
-
-
-def _middle(values: Column, known: Column) -> Column:
-    """Median of the first ``known`` values; NULL when there are none (position -1)."""
-    low = F.floor((known - 1) / 2).cast("int")
-    high = F.floor(known / 2).cast("int")
-    return (F.get(values, low) + F.get(values, high)) / 2
-
-
-def _highest(values: Column, known: Column) -> Column:
-    return F.get(values, (known - 1).cast("int"))
-
+            part = np.sort(table[:, width - n :], axis=1)
+            known = n - np.isnan(part).sum(axis=1)
+            total = np.nansum(part, axis=1)
+            columns += [_statistic(stat, part, known, total) for stat in stats]
+        return pa.StructArray.from_arrays(columns, names)
 
-def _lowest(values: Column, known: Column) -> Column:
-    return F.get(values, F.when(known > 0, 0).otherwise(-1))
+    return arrow_udf(run, StructType([StructField(n, kind) for n, kind in zip(names, kinds)]))
 
 
 def rolling(
