@@ -101,6 +101,28 @@ def test_lags_fill_with_median(spark):
     assert column(got, "lag_2") == [3.0, 3.0, 1.0]
 
 
+@pytest.mark.parametrize("exclude_current", [False, True])
+def test_all_widths_from_one_list(spark, exclude_current):
+    rng = np.random.default_rng(3)
+    values = [None if rng.random() < 0.3 else float(rng.integers(0, 9)) for _ in range(130)]
+    values[20:55] = [None] * 35
+    stats = ["mean", "median", "max", "min", "std", "sum", "count"]
+    got = history.rolling(group(spark, values), [3, 30, 90], stats, exclude_current=exclude_current)
+    got = got.orderBy(*ORDER).toPandas()
+    series = pd.Series(values, dtype=float)
+    series = series.shift(1) if exclude_current else series
+    for n in (3, 30, 90):
+        ref = series.rolling(n, min_periods=1)
+        for stat in stats:
+            want = getattr(ref, stat)()
+            if stat in ("count", "std"):
+                want = want.fillna(0)
+            name = {"mean": "ma"}.get(stat, stat) + f"_{n}"
+            np.testing.assert_allclose(got[name].astype(float), want, atol=1e-9, err_msg=name)
+    empty = history.rolling(group(spark, values).limit(0), [3], ["median"])
+    assert empty.count() == 0
+
+
 def test_rolling_with_gaps(spark):
     values = [4.0, None, 1.0, 9.0, None, None, None, 2.0]
     got = history.rolling(group(spark, values), [3], ["mean", "median", "count", "std", "max"])
