@@ -18,6 +18,7 @@ from shelfcast.settings import (
     HOT_ROWS,
     MAX_BROADCAST_ROWS,
     MAX_HOT_GROUPS,
+    NARROW_ROWS,
     settle,
     settle_counted,
     tuning,
@@ -213,18 +214,102 @@ def quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (one output column per entry).
 
-    Works on counts per distinct value, so the cost follows the number of distinct
-    values and equal values are merged before the shuffle.
+    Small tables are counted per distinct value. Tables of more than ``NARROW_ROWS`` known values are
+    read a few times instead: each pass counts the rows in ``BINS`` bins of every wanted rank's
+    bracket and keeps the bin that holds the rank, until few rows are left between the brackets'
+    ends. So what is shuffled follows groups and ranks, not distinct values. Pass a written table.
     """
     value = F.col(value) if isinstance(value, str) else value
     by = list(keys) or ["_all"]
     if not keys:
         df = df.withColumn("_all", F.lit(0))
-    counts = value_counts(df, by, value)
-    result = quantiles_of_counts(*settle_counted(counts, "values"), by, probs)
+    limit = tuning(df.sparkSession, NARROW_ROWS)
+    known = df.select(*by, value.alias("_v")).where(F.col("_v").isNotNull())
+    # Rows are counted only where Spark's estimate has a byte for each of so many.
+    large = known._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > limit
+    if large and known.agg(F.count(F.lit(1))).first()[0] > limit:
+        result = _by_narrowing(known, by, probs, limit)
+    else:
+        result = quantiles_of_counts(*settle_counted(value_counts(df, by, value), "values"), by, probs)
     return result if keys else result.drop("_all")
 
 
+# Bins of a bracket in one pass, and passes before the values left are counted, however many.
+BINS, PASSES = 256, 8
+
+
+def _by_narrowing(known: DataFrame, by: list[str], probs: dict[str, float], limit: int) -> DataFrame:
+    """``quantiles`` of (by, ``_v``) by brackets around the wanted ranks."""
+    spot = lambda q: (F.col("_n") - 1) * F.lit(float(q))
+    ranks = F.array_distinct(F.array(*[f(spot(q)) for q in probs.values() for f in (F.floor, F.ceil)]))
+    sizes = known.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    # A bracket: the rank, the least and largest value it can be, rows before it, rows inside.
+    brackets = settle(
+        sizes.withColumn("_rank", F.explode(ranks))
+        .withColumns({"_below": F.lit(0).cast("long"), "_in": F.col("_n")}), "brackets",
+    )
+    is_open = F.col("_lo") < F.col("_hi")
+    for _ in range(PASSES):
+        left = brackets.where(is_open).select(*by, "_lo", "_hi", "_in").distinct().agg(F.sum("_in")).first()[0]
+        if (left or 0) <= limit:
+            break
+        brackets = settle(_narrower(known, brackets, by), "brackets")
+    inside = _in_brackets(known, brackets.where(is_open).select(*by, "_lo", "_hi", "_below").distinct(), by)
+    spans = [*by, "_lo", "_hi", "_below"]
+    counts, size = settle_counted(inside.groupBy(*spans, "_v").agg(F.count(F.lit(1)).alias("_c")), "values")
+    upto = running_sum(counts, spans, ["_v"], "_c", "_upto", size).select(
+        *spans, "_v", (F.col("_below") + F.col("_upto")).alias("_last"), "_c"
+    )
+    spread = _match(brackets.where(is_open), upto, spans)
+    hit = (F.col("_rank") < F.col("_last")) & (F.col("_rank") >= F.col("_last") - F.col("_c"))
+    found = spread.where(hit).select(*by, "_n", "_rank", "_v").unionByName(
+        brackets.where(~is_open).select(*by, "_n", "_rank", F.col("_lo").alias("_v"))
+    )
+
+    def pick(q: float) -> Column:
+        at = lambda rank: F.max(F.when(F.col("_rank") == rank, F.col("_v")))
+        low, part = at(F.floor(spot(q))), F.max(spot(q) - F.floor(spot(q)))
+        return low + (at(F.ceil(spot(q))) - low) * part
+
+    return found.groupBy(*by).agg(*[pick(q).alias(name) for name, q in probs.items()])
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys meet; the keys come from the left."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(other, same).drop(*[f"_r_{k}" for k in keys])
+
+
+def _in_brackets(known: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
+    """The rows inside each bracket of their group; a few brackets per group, broadcast if counted small."""
+    return _match(known, lookup(brackets, "open"), by).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _narrower(known: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
+    """Each open bracket cut down to the bin that holds its rank; its ends become values that are there."""
+    is_open = F.col("_lo") < F.col("_hi")
+    spans = [*by, "_lo", "_hi", "_below"]
+    inside = _in_brackets(known, brackets.where(is_open).select(*spans).distinct(), by)
+    lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+    # Halves first, so that the width of a bracket cannot overflow.
+    share = (F.col("_v").cast("double") / 2 - lo / 2) / (hi / 2 - lo / 2)
+    bin_ = F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int"))
+    bins = inside.groupBy(*spans, bin_.alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_first"), F.max("_v").alias("_end")
+    )
+    in_order = Window.partitionBy(*spans).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.withColumn("_last", F.col("_below") + F.sum("_c").over(in_order))
+    hit = (F.col("_rank") < F.col("_last")) & (F.col("_rank") >= F.col("_last") - F.col("_c"))
+    cut = _match(brackets.where(is_open), bins, spans).where(hit).select(
+        *by, "_n", F.col("_first").alias("_lo"), F.col("_end").alias("_hi"), "_rank",
+        (F.col("_last") - F.col("_c")).alias("_below"), F.col("_c").alias("_in"),
+    )
+    return cut.unionByName(brackets.where(~is_open))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
     """(keys, ``_v``, ``_c``): how often each known value stands in each group."""
     value = F.col(value) if isinstance(value, str) else value

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = ("shelfcast.broadcast.maxRows", 1_000_000)
 # A group with more rows than this is processed in several pieces.
 HOT_ROWS = ("shelfcast.skew.hotRows", 5_000_000)
+# Rows from which exact quantiles narrow brackets of the wanted ranks instead of counting every value.
+NARROW_ROWS = ("shelfcast.quantiles.narrowRows", 20_000_000)
 # By pigeonhole at most this many groups can be hot, so a list of them is small.
 MAX_HOT_GROUPS = 10_000
 

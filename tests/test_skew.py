@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators import skew
 from shelfcast.operators.skew import attach, ordered, quantiles, running_sum, with_stats
+from shelfcast.settings import settle
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +97,51 @@ def test_attach_null_keys(spark):
     got = {r["k"]: r["m"] for r in with_stats(df, ["k"], m=F.avg("v")).collect()}
     assert got == {1: 2.0, None: None}
     assert attach(df, df.groupBy("k").agg(F.max("v").alias("x")), ["k"]).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["many", "ties", "far"])
+def test_narrowed_quantiles(spark, monkeypatch, kind):
+    """Brackets narrow to the same values as counting them all, with and without keys."""
+    rng = np.random.default_rng(5)
+    values = {
+        "many": rng.normal(size=20_000), "ties": rng.integers(0, 4, 20_000).astype(float),
+        "far": rng.choice([-1.7e308, 1.7e308, 0.1, 1e-300], 20_000) * rng.choice([1, 0.5, 0.25], 20_000),
+    }[kind]
+    group = rng.choice(np.array(["a", "b", "c", None], object), 20_000, p=[0.7, 0.2, 0.09, 0.01])
+    rows = [(g, float(v) if k % 50 else None) for k, (g, v) in enumerate(zip(group, values))]
+    df = settle(spark.createDataFrame([*rows, ("empty", None), ("one", 3.0)], "g string, v double"))
+    probs = {"low": 0.0, "q25": 0.25, "mid": 0.5, "q995": 0.995, "high": 1.0}
+    want = {r["g"]: r for r in skew.quantiles(df, ["g"], "v", probs).collect()}
+    whole = skew.quantiles(df, [], "v", probs).first()
+    spark.conf.set("shelfcast.quantiles.narrowRows", "500")
+    try:
+        got = {r["g"]: r for r in skew.quantiles(df, ["g"], "v", probs).collect()}
+        assert got == want and set(got) == {"a", "b", "c", None, "one"}
+        assert skew.quantiles(df, [], "v", probs).first() == whole
+        assert skew.quantiles(df.where("false"), ["g"], "v", probs).count() == 0
+    finally:
+        spark.conf.unset("shelfcast.quantiles.narrowRows")
+
+
+def test_narrowing_shuffles_no_more_for_more_values(spark, monkeypatch):
+    """Rows of the written tables stay alike while the distinct values grow tenfold."""
+    written = []
+    counted = skew.settle_counted
+
+    def count(df, name="table"):
+        table, rows = counted(df, name)
+        written.append(rows)
+        return table, rows
+
+    monkeypatch.setattr(skew, "settle_counted", count)
+    spark.conf.set("shelfcast.quantiles.narrowRows", "2000")
+    sizes = []
+    try:
+        for rows in (40_000, 400_000):
+            written.clear()
+            df = spark.range(rows).selectExpr("rand(1) as v")
+            skew.quantiles(settle(df), [], "v", {"mid": 0.5, "q99": 0.99})
+            sizes.append(max(written))
+    finally:
+        spark.conf.unset("shelfcast.quantiles.narrowRows")
+    assert max(sizes) <= 2000
