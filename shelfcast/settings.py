@@ -70,6 +70,16 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the files of a settled table that nothing reads any more."""
+    spark = df.sparkSession
+    own = shared_dir(spark).rsplit("/", 1)[-1]
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if f"/{own}/" in folder:  # only what ``settle`` wrote
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
     """``settle`` plus the number of rows, counted by the same write job."""
     seen = Observation()
