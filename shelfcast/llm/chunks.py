@@ -112,32 +112,6 @@ def _plain(plan) -> bool:
     return name in ("Project", "Filter") and all(_plain(parts.apply(k)) for k in range(parts.size()))
 
 
-def word_rows(docs: DataFrame, splitter: Splitter, lower: bool = False, train_col: bool = False) -> DataFrame:
-    """(word, chunk, code, n): every chunk's distinct words; ``n`` counts uses in rows marked in
-    the column before the text (``train_col``), else it is 0."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, chunk in chunks(batches, splitter, lower):
-            codes, counts, columns = chunk.read()
-            uses = np.zeros(len(chunk.words), np.int64)
-            if train_col:
-                mark = columns.column(columns.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
-                uses = np.bincount(codes[np.repeat(mark, counts)], minlength=len(chunk.words))
-            for k in range(0, len(chunk.words), OUT_ROWS):
-                part = chunk.words[k : k + OUT_ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part, pa.binary()),
-                        pa.array(np.full(len(part), number, np.int64)),
-                        pa.array(np.arange(k, k + len(part), dtype=np.int32)),
-                        pa.array(uses[k : k + len(part)].astype(np.int64)),
-                    ],
-                    ["word", "chunk", "code", "n"],
-                )
-
-    return docs.mapInArrow(emit, "word binary, chunk long, code int, n long")
-
-
 def planes(values: np.ndarray) -> bytes:
     """32-bit integers as four byte planes, which compress better."""
     return np.ascontiguousarray(values.astype(np.uint32, copy=False).view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -148,28 +122,55 @@ def from_planes(data: bytes, count: int, at: int = 0) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(4, count).T).view(np.uint32).ravel() if count else np.zeros(0, np.uint32)
 
 
-def packed_words(docs: DataFrame, splitter: Splitter, buckets: int, lower: bool = False) -> DataFrame:
-    """(bucket, chunk, words): every chunk's distinct words packed per bucket of their hashes."""
+def packed_words(docs: DataFrame, splitter: Splitter, buckets: int, lower: bool = False, train_col: bool = False) -> DataFrame:
+    """(bucket, chunk, words): every chunk's distinct words packed per bucket of their hashes. With ``train_col``
+    also ``uses``: how often each word is used in the rows marked in the column before the text."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for number, chunk in chunks(batches, splitter, lower):
             bucket, order = chunk.by_bucket(buckets)
             cut = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)).tolist()
-            keys, data = [], []
+            if train_col:
+                codes, counts, columns = chunk.read()
+                mark = columns.column(columns.num_columns - 1).to_numpy().astype(bool)
+                uses = np.bincount(codes[np.repeat(mark, counts)], minlength=len(order))[order]
+            keys, data, used = [], [], []
             for a, b in zip(cut, cut[1:]):
                 words = [chunk.words[k] for k in order[a:b].tolist()]
                 lengths = planes(np.array([len(w) for w in words]))
                 keys.append(int(bucket[order[a]]))
                 data.append(press.compress(b"".join([np.int64(len(words)).tobytes(), lengths, *words])))
+                if train_col:
+                    used.append(press.compress(planes(uses[a:b])))
             for k in range(0, len(keys), OUT_ROWS):
                 part = slice(k, k + OUT_ROWS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[part], pa.int64()), pa.array([number] * len(keys[part]), pa.int64()), pa.array(data[part], pa.binary())],
-                    ["bucket", "chunk", "words"],
-                )
+                made = [pa.array(keys[part], pa.int64()), pa.array([number] * len(keys[part]), pa.int64()), pa.array(data[part], pa.binary())]
+                if train_col:
+                    made.append(pa.array(used[part], pa.binary()))
+                yield pa.RecordBatch.from_arrays(made, names)
 
-    return docs.mapInArrow(emit, "bucket long, chunk long, words binary")
+    names = ["bucket", "chunk", "words", *(["uses"] if train_col else [])]
+    return docs.mapInArrow(emit, "bucket long, chunk long, words binary" + (", uses binary" if train_col else ""))
+
+
+def dealt(packed: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows with all rows of a bucket together."""
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of a task bucket by bucket (the bucket is the first column; rows are sorted by it)."""
+    last, held = None, []
+    for batch in batches:
+        for bucket, *row in zip(*(column.to_pylist() for column in batch.columns)):
+            if bucket != last and held:
+                yield last, held
+                held = []
+            last = bucket
+            held.append(tuple(row))
+    if held:
+        yield last, held
 
 
 def unpack_words(data: bytes) -> list[bytes]:
@@ -222,18 +223,8 @@ def open_codes(left: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table, int]:
     return codes, counts, columns.drop_columns(["_words"]), left.column("words")[0].as_py()
 
 
-def answers(right: pa.Table, column: str, words: int) -> pa.Array:
-    """A column of the answers of one chunk, by code; every distinct word must have one."""
-    code = right.column("code").combine_chunks().to_numpy()
-    if len(code) != words or (words and not (np.bincount(code, minlength=words) == 1).all()):
-        raise RuntimeError(DIFFERENT)
-    place = np.empty(words, np.int64)
-    place[code] = np.arange(words)
-    return right.column(column).combine_chunks().take(pa.array(place))
-
-
 def join_back(codes: DataFrame, resolved: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """Bring the answers of each chunk (chunk, code, ...) to its codes; ``finish`` makes the rows."""
+    """Bring the answers of each chunk (chunk, ...) to its codes; ``finish`` makes the rows."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return finish(left, right)

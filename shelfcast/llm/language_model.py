@@ -1,6 +1,7 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
-Words are counted over all training texts through chunk-wise distinct words. Every word seen at least
+Words are counted over all training texts through chunk-wise distinct words, packed per bucket of their
+hashes: words, answers, neighbour counts and vectors travel as one string per chunk and bucket. Every word seen at least
 ``MIN_COUNT`` times has two vectors of its own, however many such words there are; they stay in Spark
 tables and travel to the chunks that use the word. The model has two levels. The class of the next
 word depends on the vector of the word before it and on the class of the one before that. Within its
@@ -18,13 +19,13 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shelfcast.llm import chunks as C
 from shelfcast.llm import words as W
-from shelfcast.settings import settle
+from shelfcast.settings import forget, settle
 
 # Classes: 0 is the end of a text, then HEADS of one word each, then those of all other words seen
 # MIN_COUNT times, dealt by their last ENDING bytes; the last one holds the words seen less often.
@@ -43,7 +44,8 @@ ROUNDS, PULL, WORD_NOISE, FIT_ROWS = 15, 4.0, 2.0, 2000
 SOFT_ROWS = 8192
 # A word's neighbours on both sides: class before it (with START), class after it.
 SIDE = CLASSES + 1
-_ENTRY = np.dtype([("side", "<u2"), ("n", "<u4")])
+# Text bytes per bucket of distinct words; vectors travel as whole multiples of 1 / GRAIN, at most LARGEST of them.
+BUCKET_BYTES, GRAIN, LARGEST = 16 << 20, 32, 127
 
 
 @dataclass
@@ -193,46 +195,136 @@ class WordModel:
         return one.astype(np.float16), two.astype(np.float16)
 
 
-def _gather(codes: DataFrame, resolved: DataFrame) -> DataFrame:
-    """(h, class, c, data): per chunk and word of the vocabulary the counts of the classes on both
-    sides in training texts; with a null ``h`` the chunk's class trigrams."""
+def _pack(*columns: np.ndarray) -> bytes:
+    """Lists of whole numbers (not negative), each with its length."""
+    parts = []
+    for column in columns:
+        wide = np.asarray(column).astype(np.uint64)
+        parts += [np.int64(len(wide)).tobytes(), C.planes(wide & np.uint64(0xFFFFFFFF)), C.planes(wide >> np.uint64(32))]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    data, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    while at < len(data):
+        count = int(np.frombuffer(data, np.int64, 1, at)[0])
+        low, high = C.from_planes(data, count, at + 8), C.from_planes(data, count, at + 8 + 4 * count)
+        out.append(low.astype(np.int64) | (high.astype(np.int64) << 32))
+        at += 8 + 8 * count
+    return out
+
+
+def _endings(words: list[bytes]) -> np.ndarray:
+    """Class of words by their last bytes."""
+    tails = (w[-ENDING:] for w in words)
+    value = np.fromiter((int.from_bytes(t, "little") << 2 | len(t) for t in tails), np.uint64, len(words))
+    return HEADS + 1 + (W.mix(value + np.uint64(1)) % np.uint64(GROUPS)).astype(np.int64)
+
+
+def _count(packed: DataFrame, buckets: int) -> DataFrame:
+    """Per chunk and bucket the answers for the chunk's words: count in all training texts, place in the
+    bucket's vocabulary (from 1; 0: not in it) and class as far as the bucket knows it.
+
+    Rows without a chunk tell the bucket's number of distinct words and of uses, and its most used words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, held in C.groups(batches):
+            table: dict[bytes, int] = {}
+            slots, uses = [], []
+            for _, words, used in held:
+                slots.append(np.array([table.setdefault(w, len(table)) for w in C.unpack_words(words)], np.int64))
+                uses.append(C.from_planes(zstandard.ZstdDecompressor().decompress(used), len(slots[-1])))
+            c = np.bincount(np.concatenate(slots), weights=np.concatenate(uses), minlength=len(table)).astype(np.int64)
+            names = list(table)
+            least = np.partition(c, -HEADS)[-HEADS] if len(c) > HEADS else 0
+            top = sorted(np.flatnonzero((c >= least) & (c > 0)).tolist(), key=lambda k: (-c[k], names[k]))[:HEADS]
+            often = np.flatnonzero(c >= MIN_COUNT)
+            kind = np.full(len(c), OTHER)
+            kind[often] = _endings([names[k] for k in often.tolist()])
+            vocabulary = np.union1d(often, np.array(top, np.int64))
+            place = np.zeros(len(c), np.int64)
+            place[vocabulary] = np.arange(1, len(vocabulary) + 1)
+            chunk = [row[0] for row in held]
+            data = [_pack(c[s], place[s], kind[s]) for s in slots]
+            yield rows(len(held), bucket, chunk=chunk, data=data)
+            yield rows(1, bucket, kinds=[int((c > 0).sum())], uses=[int(c.sum())])
+            yield rows(len(top), bucket, word=[names[k] for k in top], c=c[top].tolist(), place=place[top].tolist())
+
+    def rows(count: int, bucket: int, **given) -> pa.RecordBatch:
+        columns = {"bucket": [bucket] * count, **given}
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(n, [None] * count), t) for n, t in kinds.items()], list(kinds))
+
+    long = pa.int64()
+    kinds = {"bucket": long, "chunk": long, "data": pa.binary(), "kinds": long, "uses": long, "word": pa.binary(), "c": long, "place": long}
+    schema = "bucket long, chunk long, data binary, kinds long, uses long, word binary, c long, place long"
+    return C.dealt(packed, buckets).mapInArrow(W.tidy(run), schema)
+
+
+Heads = dict[int, list[tuple[int, int]]]
+
+
+def _answers(right: pa.Table, words: int, heads: Heads) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(count, place, class, bucket) of all distinct words of a chunk, in the order of their codes.
+    ``heads`` are the places and classes, per bucket, of the words with a class of their own."""
+    outs: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+    found = zip(right.column("bucket").to_pylist(), right.column("data").to_pylist())
+    for bucket, data in sorted(row for row in found if row[1] is not None):
+        c, place, kind = _unpack(data)
+        for at, own in heads.get(bucket, ()):
+            kind[place == at] = own
+        for out, values in zip(outs, (c, place, kind, np.full(len(c), bucket))):
+            out.append(values)
+    c, place, kind, bucket = (np.concatenate(out) for out in outs)
+    if len(c) != words:
+        raise RuntimeError(C.DIFFERENT)
+    return c, place, kind, bucket
+
+
+def _gather(codes: DataFrame, answers: DataFrame, heads: Heads) -> DataFrame:
+    """(bucket, chunk, data): per chunk and bucket the chunk's words of the vocabulary, and the counts of the
+    classes on both sides of them in training texts; with a null ``bucket`` the chunk's class trigrams."""
     kinds = (CLASSES + 1) ** 2 * CLASSES
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         codes, counts, columns, distinct = C.open_codes(left)
-        kind = C.answers(right, "class", distinct).to_numpy().astype(np.int32)
+        c, place, kind, bucket = _answers(right, distinct, heads)
         mark = columns.column("train").to_numpy().astype(bool)
         codes, counts = codes[np.repeat(mark, counts)].astype(np.int32), counts[mark]
         bounds = np.concatenate([[0], np.cumsum(counts)])
-        total, keys, row = np.zeros(kinds, np.uint32), [], 0
+        total, keys, row = np.zeros(kinds, np.uint32), [np.zeros(0, np.int64)], 0
         while row < len(counts):
             stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + 500_000, "right")) - 1)
             part, ends = codes[bounds[row] : bounds[stop]], bounds[row : stop + 1] - bounds[row]
             one, two, token = sequences(kind[part], ends)
             at, n = np.unique(trigram_codes(one, two, token), return_counts=True)
             total[at] += n.astype(np.uint32)
-            place = np.flatnonzero(np.insert(np.ones(len(part), bool), ends[1:], False))  # the words among the tokens
+            spot = np.flatnonzero(np.insert(np.ones(len(part), bool), ends[1:], False))  # the words among the tokens
             own = kind[part] != OTHER
-            for side in (two[place], SIDE + token[place + 1]):
+            for side in (two[spot], SIDE + token[spot + 1]):
                 keys.append((part.astype(np.int64) * (SIDE + CLASSES) + side)[own])
             row = stop
-        key, n = np.unique(np.concatenate(keys or [np.zeros(0, np.int64)]), return_counts=True)
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
         word, side = np.divmod(key, SIDE + CLASSES)
-        entry = np.empty(len(key), _ENTRY)
-        entry["side"], entry["n"] = side, n
-        first = np.flatnonzero(np.diff(word, prepend=-1))
+        known = np.flatnonzero(kind != OTHER)
+        entries = np.bincount(word, minlength=distinct)[known]
+        cut = np.append(np.flatnonzero(np.diff(bucket[known], prepend=-1)), len(known))
+        ends = np.concatenate([[0], np.cumsum(entries)])[cut]
         some = np.flatnonzero(total)
-        offsets = np.append(first, len(key)).astype(np.int32) * np.int32(_ENTRY.itemsize)
-        data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(entry.tobytes())])
-        words = pa.array(word[first])
-        table = {k: C.answers(right, k, distinct).take(words) for k in ("h", "class", "c")}
-        made = pa.table({"h": table["h"].cast(pa.int64()), "class": table["class"].cast(pa.int32()), "c": table["c"].cast(pa.int64()), "data": data})
-        classes = pa.table(
-            {"h": pa.nulls(1, pa.int64()), "class": pa.nulls(1, pa.int32()), "c": pa.nulls(1, pa.int64()), "data": pa.array([some.astype("<i8").tobytes() + total[some].astype("<i8").tobytes()], pa.binary())}
+        made = [(None, _pack(np.diff(some, prepend=0), total[some]))]
+        for a, b, first, last in zip(cut, cut[1:], ends, ends[1:]):
+            w = known[a:b]
+            made.append((int(bucket[w[0]]), _pack(place[w], kind[w], c[w], entries[a:b], side[first:last], n[first:last])))
+        chunk = left.column("chunk")[0].as_py()
+        return pa.table(
+            {
+                "bucket": pa.array([m[0] for m in made], pa.int64()),
+                "chunk": pa.array([chunk] * len(made), pa.int64()),
+                "data": pa.array([m[1] for m in made], pa.binary()),
+            }
         )
-        return pa.concat_tables([made, classes])
 
-    return C.join_back(codes, resolved, finish, "h long, class int, c long, data binary")
+    return C.join_back(codes, answers, finish, "bucket long, chunk long, data binary")
 
 
 def _class_trigrams(gathered: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -242,46 +334,74 @@ def _class_trigrams(gathered: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                code, n = np.frombuffer(data, "<i8").reshape(2, -1)
-                total[code] += n
+                steps, n = _unpack(data)
+                total[np.cumsum(steps)] += n
         some = np.flatnonzero(total)
         for k in range(0, len(some), C.OUT_ROWS):
             part = some[k : k + C.OUT_ROWS]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["code", "n"])
 
-    counts = gathered.filter("h is null").select("data").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = gathered.filter("bucket is null").select("data").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     table = counts.toArrow()  # bounded by the number of class trigrams
     code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
     order = np.argsort(code)
     return code[order], n[order].astype(np.float64)
 
 
-def _word_vectors(gathered: DataFrame, model: WordModel) -> DataFrame:
-    """(h, class, c, vectors): both vectors of every word of the vocabulary."""
-    held = gathered.sparkSession.sparkContext.broadcast(model)  # bounded by the number of classes
+def _grains(values: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(values.astype(np.float32) * GRAIN), -LARGEST, LARGEST).astype(np.int8)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), FIT_ROWS):
-                batch = whole.slice(at, FIT_ROWS)
-                lists = batch.column(3)
-                parts = lists.flatten()
-                owner = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
-                entry = np.frombuffer(b"".join(parts.to_pylist()), _ENTRY)
-                owner = np.repeat(owner, np.diff(_offsets(parts)) // _ENTRY.itemsize)
-                width = SIDE + CLASSES
-                sides = np.bincount(owner * width + entry["side"], weights=entry["n"], minlength=len(batch) * width).reshape(-1, width)
-                both = np.concatenate(held.value.fit(sides, batch.column(1).to_numpy()), axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], pa.array([v.tobytes() for v in both], pa.binary())], ["h", "class", "c", "vectors"]
-                )
 
-    words = gathered.filter("h is not null").groupBy("h").agg(F.first("class").alias("class"), F.first("c").alias("c"), F.collect_list("data").alias("data"))
-    return words.mapInArrow(W.tidy(run), "h long, class int, c long, vectors binary")
+def _word_vectors(gathered: DataFrame, model: WordModel, buckets: int) -> DataFrame:
+    """Both vectors of every word of the vocabulary: one row (class, c, vectors) per word, and per chunk and
+    bucket one row (bucket, chunk, data) with the vectors of the chunk's words, in their order.
 
+    A bucket's counts are added up chunk by chunk, so a word's group is never held at once.
+    """
+    held = gathered.sparkSession.sparkContext.broadcast(model)  # bounded by the number of classes
+    width = SIDE + CLASSES
 
-def _offsets(column: pa.BinaryArray) -> np.ndarray:
-    return np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for bucket, parts in C.groups(batches):
+            sums, kind, count, places = np.zeros((0, width)), np.zeros(0, np.int64), np.zeros(0, np.int64), []
+            for _, data in parts:
+                place, own, c, entries, side, n = _unpack(data)
+                place -= 1
+                more = int(place.max()) + 1
+                if more > len(kind):
+                    room = more + more // 4 - len(kind)
+                    sums = np.concatenate([sums, np.zeros((room, width))])
+                    kind, count = np.append(kind, np.full(room, -1)), np.append(count, np.zeros(room, np.int64))
+                kind[place], count[place] = own, c
+                sums.ravel()[np.repeat(place, entries) * width + side] += n  # each (word, side) once per chunk
+                places.append(place)
+            both = np.zeros((len(kind), 2 * DIMS), np.int8)
+            words = np.flatnonzero(kind >= 0)
+            for at in range(0, len(words), FIT_ROWS):
+                w = words[at : at + FIT_ROWS]
+                one, two = model.fit(sums[w], kind[w])
+                both[w] = _grains(np.concatenate([one - model.inputs[kind[w]], two], axis=1))
+                real = _vectors(both[w], kind[w], model)
+                yield _rows(len(w), **{"class": kind[w].tolist(), "c": count[w].tolist(), "vectors": [v.tobytes() for v in real]})
+            press = zstandard.ZstdCompressor(level=3)
+            for (chunk, _), place in zip(parts, places):
+                data = press.compress(np.ascontiguousarray(both[place].T).tobytes())
+                yield _rows(1, bucket=[bucket], chunk=[chunk], data=[data])
+
+    def _rows(count: int, **given) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(given.get(n, [None] * count), t) for n, t in kinds.items()], list(kinds))
+
+    kinds = {"class": pa.int32(), "c": pa.int64(), "vectors": pa.binary(), "bucket": pa.int64(), "chunk": pa.int64(), "data": pa.binary()}
+    words = C.dealt(gathered.filter("bucket is not null").select("bucket", "chunk", "data"), buckets)
+    return words.mapInArrow(W.tidy(run), "class int, c long, vectors binary, bucket long, chunk long, data binary")
+
+
+def _vectors(grains: np.ndarray, kind: np.ndarray, model: WordModel) -> np.ndarray:
+    """(input, output) vectors; inputs are kept beside those of their class."""
+    real = grains.astype(np.float32) / GRAIN
+    real[:, :DIMS] += model.inputs[kind]
+    return real.astype(np.float16)
 
 
 def _class_sums(vectors: DataFrame, model: WordModel) -> np.ndarray:
@@ -320,52 +440,50 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         F.col(id_col).cast("long").alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text")
     ).withColumn("train", ~F.col("held_out")).select("id", "held_out", "train", "text")
     rows = C.steady(rows)
-    word = Window.partitionBy("word")
-    counted = C.word_rows(rows, W.split, lower=True, train_col=True).select(
-        "*", F.sum("n").over(word).alias("c"), F.row_number().over(word.orderBy("chunk")).alias("place")
-    )
-    seen = Observation()
-    first = F.col("place") == 1
-    counted = settle(
-        counted.observe(
-            seen, F.sum(F.when(first & (F.col("c") > 0), 1)).alias("kinds"), F.sum(F.when(first, F.col("c"))).alias("words")
-        ),
-        "counted",
-    )
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    counted = settle(_count(C.packed_words(rows, W.split, buckets, lower=True, train_col=True), buckets), "counted")
+    told = counted.filter("chunk is null")
     texts = rows.filter("train").count()
-    kinds, tokens = int(seen.get.get("kinds") or 0) + (texts > 0), int(seen.get.get("words") or 0) + texts
-    top = [
-        (bytes(r["word"]), r["c"])
-        for r in counted.filter(first & (F.col("c") > 0)).orderBy(F.desc("c"), "word").limit(HEADS).select("word", "c").collect()
-    ]
-    spark = docs.sparkSession
-    names = spark.createDataFrame([(w, i + 1) for i, (w, _) in enumerate(top)], "word binary, head int")
-    ending = HEADS + 1 + F.pmod(F.xxhash64(F.expr(f"substring(word, -{ENDING})")), F.lit(GROUPS))
-    kind = F.coalesce("head", F.when(F.col("c") >= MIN_COUNT, ending.cast("int")), F.lit(OTHER))
-    resolved = counted.join(F.broadcast(names), "word", "left").select("chunk", "code", "c", kind.alias("class"), F.xxhash64("word").alias("h"))
-    codes_of = settle(C.code_rows(rows, W.split, lower=True), "codes")
-    gathered = settle(_gather(codes_of, resolved), "neighbours")
+    seen = told.agg(F.sum("kinds").alias("kinds"), F.sum("uses").alias("uses")).first()
+    kinds, tokens = (seen["kinds"] or 0) + (texts > 0), (seen["uses"] or 0) + texts
+    heads: Heads = {}
+    top = told.filter("word is not null").orderBy(F.desc("c"), "word").limit(HEADS).select("bucket", "place").collect()
+    for own, r in enumerate(top, 1):
+        heads.setdefault(r["bucket"], []).append((r["place"], own))
+    answers = counted.filter("chunk is not null").select("chunk", "bucket", "data")
+    codes_of = settle(C.code_rows(rows, W.split, lower=True, buckets=buckets), "codes")
+    gathered = settle(_gather(codes_of, answers, heads), "neighbours")
     trigrams = _class_trigrams(gathered)
     model = WordModel.of(train(*trigrams), *trigrams)
-    vectors = settle(_word_vectors(gathered, model), "vectors")
+    made = settle(_word_vectors(gathered, model, buckets), "vectors")
+    forget(gathered)
+    vectors = made.filter("chunk is null").select("class", "c", "vectors")
     sums = _class_sums(vectors, model)
     whole = tokens + ADD * (kinds + 1)
     sums[OTHER] = max(whole - sum(c for (c,) in vectors.agg(F.sum(F.col("c") + ADD)).collect() if c) - (texts + ADD), ADD)
     model.log_sum = np.log(np.maximum(sums, 1e-300))
-    resolved = resolved.join(vectors.select("h", "vectors"), "h", "left").select("chunk", "code", "c", "class", "vectors")
-    held = spark.sparkContext.broadcast(model)
+    nothing = F.lit(None).cast("binary")
+    answers = answers.withColumn("vectors", nothing).union(
+        made.filter("chunk is not null").select("chunk", "bucket", nothing.alias("data"), F.col("data").alias("vectors"))
+    )
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         codes, counts, columns, distinct = C.open_codes(left)
-        c = C.answers(right, "c", distinct).to_numpy().astype(np.float64)
-        kind = C.answers(right, "class", distinct).to_numpy()
+        c, _, kind, _ = _answers(right, distinct, heads)
         base = np.log10((c + ADD) / whole)
         model, log_c = held.value, np.log(c + ADD)
         # Both vectors of every word; one without its own has its class's.
         inputs, outputs = np.append(model.inputs[kind], model.inputs[START:], axis=0).astype(np.float16), np.zeros((distinct, DIMS), np.float16)
-        found = C.answers(right, "vectors", distinct)
-        own = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
-        both = np.frombuffer(b"".join(found.drop_null().to_pylist()), np.float16).reshape(-1, 2 * DIMS)
+        own = np.flatnonzero(kind != OTHER)
+        found = sorted(row for row in zip(right.column("bucket").to_pylist(), right.column("vectors").to_pylist()) if row[1] is not None)
+        open_ = zstandard.ZstdDecompressor().decompress
+        grains = [np.frombuffer(open_(data), np.int8).reshape(2 * DIMS, -1).T for _, data in found]
+        grains = np.concatenate([np.zeros((0, 2 * DIMS), np.int8), *grains])
+        if len(grains) != len(own):
+            raise RuntimeError(C.DIFFERENT)
+        both = _vectors(grains, kind[own], model)
         inputs[own], outputs[own] = both[:, :DIMS], both[:, DIMS:]
         end, ends = np.log10((texts + ADD) / whole), np.concatenate([[0], np.cumsum(counts)])
         known_word, parts = (c > 0).astype(np.float64), []
@@ -414,4 +532,4 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         )
 
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return C.join_back(codes_of, resolved, finish, schema)
+    return C.join_back(codes_of, answers, finish, schema)
