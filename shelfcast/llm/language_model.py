@@ -13,6 +13,7 @@ the words' own neighbour counts, which are gathered in a table, by the tasks tha
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -41,7 +42,7 @@ STEPS, BATCH, NOISE, RATE, DRAWS = 1200, 2048, 10, 0.02, 4
 # Fit of a word's vectors: rounds, pull to the class, noise per data word, words at a time.
 ROUNDS, PULL, WORD_NOISE, FIT_ROWS = 15, 4.0, 2.0, 2000
 # Tokens whose class probabilities are worked out at once.
-SOFT_ROWS = 8192
+SOFT_ROWS = 2048
 # A word's neighbours on both sides: class before it (with START), class after it.
 SIDE = CLASSES + 1
 # Text bytes per bucket of distinct words; vectors travel as whole multiples of 1 / GRAIN, at most LARGEST of them.
@@ -155,13 +156,23 @@ class WordModel:
         x = np.clip(x @ (turn / np.sqrt(value)), -4.0, 4.0)
         return cls(*(np.asarray(v, np.float32) for v in (model.inputs, model.outputs, model.bias, model.mixing, x, follow)))
 
-    def log_classes(self, one: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        """log p(class | class before last, vector of the word before), for all classes."""
+    def _logits(self, one: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         x = (self.inputs[one] * self.mixing[0] + vectors * self.mixing[1]) @ self.outputs.T
         x += self.bias
         x -= x.max(axis=1, keepdims=True)
+        return x
+
+    def log_classes(self, one: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """log p(class | class before last, vector of the word before), for all classes."""
+        x = self._logits(one, vectors)
         return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
+    def log_class(self, one: np.ndarray, vectors: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The same for one class of every row."""
+        x = self._logits(one, vectors)
+        own = x[np.arange(len(token)), token]
+        return own - np.log(np.exp(x, out=x).sum(axis=1))
+
     def fit(self, sides: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(input, output) vectors of words from their neighbour counts (words, 2 * CLASSES + 1)."""
         before, after = sides[:, :SIDE].astype(np.float32), sides[:, SIDE:].astype(np.float32)
@@ -187,9 +198,9 @@ class WordModel:
         step = 1 / (0.25 * ((data + noise) @ (self.contexts**2).sum(axis=1)) + PULL)[:, None]
         q, ahead, pace = two[many], two[many], 1.0
         for _ in range(2 * ROUNDS):  # accelerated gradient steps
-            g = 1 / (1 + np.exp(np.clip(np.log(WORD_NOISE) - ahead @ self.contexts.T, -30, 30)))
+            g = 1 / (1 + np.exp(np.clip(math.log(WORD_NOISE) - ahead @ self.contexts.T, -30, 30)))
             new = ahead + step * ((data * (1 - g) - noise * g) @ self.contexts - PULL * ahead)
-            following = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+            following = (1 + math.sqrt(1 + 4 * pace**2)) / 2  # plain floats keep the arrays in single precision
             ahead, q, pace = new + (pace - 1) / following * (new - q), new, following
         two[many] = q
         return one.astype(np.float16), two.astype(np.float16)
@@ -504,7 +515,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
                 steps = np.empty(len(token))
                 for k in range(0, len(token), SOFT_ROWS):
                     at = slice(k, k + SOFT_ROWS)
-                    steps[at] = model.log_classes(one[at], inputs[before[at]].astype(np.float32))[np.arange(len(token[at])), token[at]]
+                    steps[at] = model.log_class(one[at], inputs[before[at]].astype(np.float32), token[at])
                 inside = np.flatnonzero(token != END)
                 w, follows = word[inside], two[inside]
                 steps[inside] += log_c[w] - model.log_sum[token[inside], follows]
