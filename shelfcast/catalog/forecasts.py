@@ -10,6 +10,7 @@ from shelfcast.catalog.base import ID, W, Query
 from shelfcast.catalog.rows import CASES_SQL, cases
 from shelfcast.functions.columns import forecast_value
 from shelfcast.models import ensemble as E
+from shelfcast.models import linear
 from shelfcast.models.search import search_params, trial_params
 from shelfcast.operators import quality, summary
 from shelfcast.operators.dates import holiday_distance
@@ -210,6 +211,70 @@ def _score_test(r):
     return jobs.score_rows(model(r), test).select(*ORDER, *E.member_columns(), "forecast")
 
 
+# ---- least squares -----------------------------------------------------------
+
+LINEAR, RIDGE = list(SIMPLE), 0.01
+LINE_ID = [c.rstrip("@") for c in ID.split()]
+
+
+def linear_rows(r):
+    """Training and test rows with the features and the label."""
+    members = settle(simple_members(r), "members")
+    parts = train_test_split(members)
+    return [linear.prepared(part, LINEAR, "net_sales", keep=LINE_ID) for part in parts]
+
+
+def _linear_model(r):
+    train, test = linear_rows(r)
+    return linear.fit(train, LINEAR, ridge=RIDGE), test
+
+
+def _linear_scores(r):
+    found, test = _linear_model(r)
+    model = linear.LeastSquares.of(settle(found.table(r.spark), "coefficients"))
+    return model.score(test)
+
+
+def _linear_csv(r):
+    model, test = _linear_model(r)
+    source, path = new_path(r.spark, "rows"), new_path(r.spark, "scored")
+    write_result(test, source)
+    jobs.score_csv(r.spark, model, source, test.schema, path)
+    return r.spark.read.schema(model.score(test).schema).option("header", True).csv(path)
+
+
+def _linear_tables() -> dict[str, str]:
+    """The normal equations of three features, solved by Cramer's rule."""
+    names = enumerate(LINEAR, 1)
+    pairs = [(i, j) for i in (1, 2, 3) for j in (1, 2, 3)]
+    cover = lambda i, j: f"COVAR_POP({LINEAR[i - 1]}, {LINEAR[j - 1]})" + (f" * {1 + RIDGE}" if i == j else "")
+    moments = [f"AVG({f}) AS m{i}, COVAR_POP({f}, label) AS s{i}y" for i, f in names]
+    moments += [f"{cover(i, j)} AS s{i}{j}" for i, j in pairs]
+
+    def determinant(replaced: int) -> str:
+        at = lambda i, j: f"s{i}y" if j == replaced else f"s{i}{j}"
+        return " + ".join(
+            f"{at(1, a)} * ({at(2, b)} * {at(3, c)} - {at(2, c)} * {at(3, b)})" for a, b, c in ((1, 2, 3), (2, 3, 1), (3, 1, 2))
+        )
+
+    return {
+        "simple": SIMPLE_SQL,
+        "labelled": """SELECT *, CASE WHEN net_sales > -1 THEN LN(1 + net_sales) END AS label,
+          sale_date <= (SELECT MAX(sale_date) FROM loaded) - 30 AS training FROM simple""",
+        "moments": f"SELECT AVG(label) AS my, {', '.join(moments)} FROM labelled WHERE training AND label IS NOT NULL",
+        "solved": "SELECT *, " + ", ".join(f"({determinant(k)}) / ({determinant(0)}) AS b{k}" for k in (1, 2, 3)) + " FROM moments",
+        "forecasts": """SELECT l.*, GREATEST(EXP(my + b1 * (p1 - m1) + b2 * (p2 - m2) + b3 * (p3 - m3)) - 1, 0) AS forecast
+          FROM labelled l CROSS JOIN solved WHERE NOT training""",
+    }
+
+
+LINEAR_SQL = "SELECT * FROM forecasts"
+COEFFICIENTS_SQL = " UNION ALL ".join(
+    [f"SELECT '{linear.INTERCEPT}' AS feature, my - b1 * m1 - b2 * m2 - b3 * m3 AS coefficient FROM solved"]
+    + [f"SELECT '{f}', b{i} FROM solved" for i, f in enumerate(LINEAR, 1)]
+)
+
+
 # ---- feature state -----------------------------------------------------------
 
 STATE_DAYS = 7
@@ -445,6 +510,15 @@ QUERIES = {
     "feature_importance": Query(lambda r: model(r).importance(r.spark)),
     "score_rows": Query(_score_test),
     "score_csv": Query(_scored_csv),
+    "linear_matrix": Query(
+        lambda r: linear.prepared(simple_members(r), LINEAR, "net_sales", keep=LINE_ID), f"{ID} p1~6 p2~6 p3~6 label~6",
+        "SELECT *, CASE WHEN net_sales > -1 THEN LN(1 + net_sales) END AS label FROM simple", {"simple": SIMPLE_SQL},
+    ),
+    "linear_fit": Query(
+        lambda r: _linear_model(r)[0].table(r.spark), "feature coefficient~6", COEFFICIENTS_SQL, _linear_tables()
+    ),
+    "linear_scores": Query(_linear_scores, f"{ID} forecast~6", LINEAR_SQL, _linear_tables()),
+    "linear_score_csv": Query(_linear_csv, f"{ID} forecast~6", LINEAR_SQL, _linear_tables()),
     "forecast_future": Query(
         lambda r: jobs.forecast_future(model(r), r.loaded, r.holidays, r.promotions, 7)
     ),

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from shelfcast import schema as S
 from shelfcast.catalog.base import ID, ORD, Query
 from shelfcast.functions import columns as C
-from shelfcast.models.prepare import align_features, drop_invalid, index_categories
+from shelfcast.models.prepare import align_features, apply_codes, category_codes, drop_invalid, index_categories
 from shelfcast.operators import dates, frames, pricing, promo, target
 from shelfcast.operators.quality import zero_safe_rows
-from shelfcast.settings import new_path
+from shelfcast.settings import new_path, settle
 from shelfcast.sources import files, load
 from shelfcast.sources.fixture import HOLIDAY_TYPES
 
@@ -66,10 +66,18 @@ def _splits(r):
     return out
 
 
+CATEGORIES = ("sku", "store_id", "promo_type", "holiday_type")
+
+
 def _index(r):
     train, _ = target.train_test_split(r.loaded, 365)
-    names = ["sku", "store_id", "promo_type", "holiday_type"]
-    return index_categories(train, names).transform(r.loaded)
+    return index_categories(train, list(CATEGORIES)).transform(r.loaded)
+
+
+def _codes(r):
+    train, _ = target.train_test_split(r.loaded, 365)
+    train = settle(train.select(*CATEGORIES), "categories")
+    return apply_codes(r.loaded, {name: category_codes(train, name) for name in CATEGORIES})
 
 
 def _code_sql(name: str) -> str:
@@ -266,6 +274,12 @@ QUERIES = {
             _code_column(n) for n in ("sku", "store_id", "promo_type", "holiday_type")
         ) + " FROM loaded l",
     ),
+    "category_codes": Query(
+        _codes, f"{ID} sku_code~0 store_id_code~0 promo_type_code~0 holiday_type_code~0",
+        "SELECT l.*, " + ", ".join(
+            _code_column(n) for n in ("sku", "store_id", "promo_type", "holiday_type")
+        ) + " FROM loaded l",
+    ),
     # ---- filters ----
     "point_filter": Query(
         _point, f"{ID} net_sales",

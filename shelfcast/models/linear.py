@@ -82,6 +82,10 @@ class LeastSquares:
         raw = self.value(df.columns)
         return df.withColumn(out, F.greatest(F.expm1(raw) if log_target else raw, F.lit(0.0)))
 
+    def predict(self, df: DataFrame, out: str = "forecast") -> DataFrame:
+        """As the other models do it: the forecast for prepared rows."""
+        return self.score(df, out)
+
     def table(self, spark: SparkSession) -> DataFrame:
         """(feature, coefficient), the intercept among them."""
         rows = [(INTERCEPT, self.intercept), *zip(self.features, self.coefficients)]

@@ -20,6 +20,7 @@ from shelfcast.models.ensemble import (
     member_columns,
     prepare_matrix,
 )
+from shelfcast.models.linear import LeastSquares
 from shelfcast.models.prepare import feature_columns
 from shelfcast.models.search import search_params, trial_params
 from shelfcast.operators import quality, summary
@@ -182,12 +183,12 @@ def batch_score(
     return cases.join(scored, "case_id", "left")
 
 
-def score_rows(model: Ensemble, rows: DataFrame, out: str = "forecast") -> DataFrame:
+def score_rows(model: Ensemble | LeastSquares, rows: DataFrame, out: str = "forecast") -> DataFrame:
     """Score prepared feature rows, any number of them."""
     return model.predict(rows, out)
 
 
-def score_csv(spark: SparkSession, model: Ensemble, source: str, schema, path: str) -> None:
+def score_csv(spark: SparkSession, model: Ensemble | LeastSquares, source: str, schema, path: str) -> None:
     """Read a feature CSV, append ``forecast``, write CSV."""
     rows = spark.read.schema(schema).option("header", True).csv(source)
     scored = score_rows(model, rows).select(*rows.columns, "forecast")
