@@ -243,16 +243,27 @@ def _linear_csv(r):
     return r.spark.read.schema(model.score(test).schema).option("header", True).csv(path)
 
 
-def _linear_tables() -> dict[str, str]:
-    """The normal equations of three features, solved by Cramer's rule."""
+RIDGES = (0.0, 0.01, 0.1, 1.0, 10.0)
+
+
+def _linear_path(r):
+    """Validation error of every penalty; the last 30 days of the training rows choose."""
+    train, _ = train_test_split(settle(simple_members(r), "members"))
+    parts = [linear.prepared(part, LINEAR, "net_sales") for part in train_test_split(train)]
+    _, errors = linear.path(*parts, LINEAR, RIDGES)
+    return r.spark.createDataFrame(errors, "ridge double, rmse double")
+
+
+def _linear_tables(days: str = "(SELECT MAX(sale_date) FROM loaded) - 30", ridges: tuple = (RIDGE,)) -> dict[str, str]:
+    """The normal equations of three features, solved by Cramer's rule for every penalty."""
     names = enumerate(LINEAR, 1)
     pairs = [(i, j) for i in (1, 2, 3) for j in (1, 2, 3)]
-    cover = lambda i, j: f"COVAR_POP({LINEAR[i - 1]}, {LINEAR[j - 1]})" + (f" * {1 + RIDGE}" if i == j else "")
+    cover = lambda i, j: f"COVAR_POP({LINEAR[i - 1]}, {LINEAR[j - 1]})"
     moments = [f"AVG({f}) AS m{i}, COVAR_POP({f}, label) AS s{i}y" for i, f in names]
     moments += [f"{cover(i, j)} AS s{i}{j}" for i, j in pairs]
 
     def determinant(replaced: int) -> str:
-        at = lambda i, j: f"s{i}y" if j == replaced else f"s{i}{j}"
+        at = lambda i, j: f"s{i}y" if j == replaced else f"(s{i}{j} * (1 + ridge))" if i == j else f"s{i}{j}"
         return " + ".join(
             f"{at(1, a)} * ({at(2, b)} * {at(3, c)} - {at(2, c)} * {at(3, b)})" for a, b, c in ((1, 2, 3), (2, 3, 1), (3, 1, 2))
         )
@@ -260,11 +271,14 @@ def _linear_tables() -> dict[str, str]:
     return {
         "simple": SIMPLE_SQL,
         "labelled": """SELECT *, CASE WHEN net_sales > -1 THEN LN(1 + net_sales) END AS label,
-          sale_date <= (SELECT MAX(sale_date) FROM loaded) - 30 AS training FROM simple""",
-        "moments": f"SELECT AVG(label) AS my, {', '.join(moments)} FROM labelled WHERE training AND label IS NOT NULL",
-        "solved": "SELECT *, " + ", ".join(f"({determinant(k)}) / ({determinant(0)}) AS b{k}" for k in (1, 2, 3)) + " FROM moments",
-        "forecasts": """SELECT l.*, GREATEST(EXP(my + b1 * (p1 - m1) + b2 * (p2 - m2) + b3 * (p3 - m3)) - 1, 0) AS forecast
-          FROM labelled l CROSS JOIN solved WHERE NOT training""",
+          sale_date <= (SELECT MAX(sale_date) FROM loaded) - 30 AS known FROM simple""",
+        "split": f"SELECT *, sale_date <= {days} AS training FROM labelled",
+        "ridges": " UNION ALL ".join(f"SELECT {k!r} AS ridge" for k in ridges),
+        "moments": f"SELECT AVG(label) AS my, {', '.join(moments)} FROM split WHERE training AND label IS NOT NULL",
+        "solved": "SELECT *, " + ", ".join(f"({determinant(k)}) / ({determinant(0)}) AS b{k}" for k in (1, 2, 3)) + " FROM moments CROSS JOIN ridges",
+        "raw_forecasts": """SELECT l.*, ridge, my + b1 * (p1 - m1) + b2 * (p2 - m2) + b3 * (p3 - m3) AS raw
+          FROM split l CROSS JOIN solved WHERE NOT training""",
+        "forecasts": "SELECT *, GREATEST(EXP(raw) - 1, 0) AS forecast FROM raw_forecasts",
     }
 
 
@@ -517,6 +531,11 @@ QUERIES = {
     "linear_fit": Query(
         lambda r: _linear_model(r)[0].table(r.spark), "feature coefficient~6", COEFFICIENTS_SQL, _linear_tables()
     ),
+    "linear_path": Query(
+        _linear_path, "ridge~3 rmse~6",
+        "SELECT ridge, SQRT(AVG(POWER(label - raw, 2))) AS rmse FROM raw_forecasts WHERE known AND label IS NOT NULL GROUP BY ridge",
+        _linear_tables("(SELECT MAX(sale_date) FROM labelled WHERE known) - 30", RIDGES),
+    ),
     "linear_scores": Query(_linear_scores, f"{ID} forecast~6", LINEAR_SQL, _linear_tables()),
     "linear_score_csv": Query(_linear_csv, f"{ID} forecast~6", LINEAR_SQL, _linear_tables()),
     "forecast_future": Query(

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import not_negative
+from shelfcast.models.staged import StagedForest, grow_forest
 from shelfcast.operators.target import apply_encoding, encoding_tables
 from shelfcast.sources import versions
 
@@ -48,8 +49,14 @@ def regressor(kind: str, params: dict | None = None, validation: str | None = No
 def fit_member(
     kind: str, frame: DataFrame, params: dict | None = None, validation: str | None = None
 ):
-    """Fit one member on a frame with ``features`` and the label."""
-    if validation and kind != "gbt":
+    """Fit one member on a frame with ``features`` and the label.
+
+    With ``validation`` (a flag column) the boosted member and the forest stop growing on the flagged rows. The
+    linear member is solved in one step from the other rows; ``linear.path`` picks a penalty.
+    """
+    if validation and kind == "forest":
+        return grow_forest(regressor(kind, params), frame, validation)
+    if validation and kind == "linear":
         frame = frame.where(~F.col(validation))
     return regressor(kind, params, validation).fit(frame)
 
@@ -210,13 +217,14 @@ class Ensemble:
         prep = self.prep
         prep.model.write().save(f"{path}/prepare")
         for kind, model in self.members.items():
-            model.write().save(f"{path}/member-{kind}")
+            model.save(f"{path}/member-{kind}")
         for name, table in prep.encodings.items():
             table.write.parquet(f"{path}/encoding-{name}")
         facts = {
             "features": prep.features, "categorical": prep.categorical, "encoded": prep.encoded,
             "overall": prep.overall, "members": list(self.members), "weights": list(self.weights),
             "params": self.params, "log_target": self.log_target, "deviations": self.deviations,
+            "blocks": {k: len(m.blocks) for k, m in self.members.items() if isinstance(m, StagedForest)},
         }
         rows = [(k, json.dumps(v)) for k, v in facts.items()]
         spark.createDataFrame(rows, "name string, value string").coalesce(1).write.parquet(f"{path}/facts")
@@ -231,8 +239,11 @@ class Ensemble:
         }
         import pyspark.ml.regression as regression
 
+        blocks = facts.get("blocks", {})
         members = {
-            k: getattr(regression, kinds[k]).load(f"{path}/member-{k}") for k in facts["members"]
+            k: StagedForest.load(f"{path}/member-{k}", blocks[k], f"_{k}") if k in blocks
+            else getattr(regression, kinds[k]).load(f"{path}/member-{k}")
+            for k in facts["members"]
         }
         encodings = {f: spark.read.parquet(f"{path}/encoding-{f}") for f in facts["encoded"]}
         prep = Preparation(

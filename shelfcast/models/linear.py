@@ -105,8 +105,12 @@ def fit(df: DataFrame, features: Sequence[str], label: str = "label", ridge: flo
     Rows with a null or non-finite value are left out. Constant features get 0; of features that depend
     on each other the solution of least norm is taken; without rows all is 0.
     """
+    return solve(features, *gram(df, [*features, label]), ridge)
+
+
+def solve(features: Sequence[str], count: int, means: np.ndarray, sums: np.ndarray, ridge: float) -> LeastSquares:
+    """The model of the sums that ``gram`` gives for the features and the label (last)."""
     features = list(features)
-    count, means, sums = gram(df, [*features, label])
     if not count:
         return LeastSquares(features, [0.0] * len(features), 0.0, 0)
     inner, cross = sums[:-1, :-1], sums[:-1, -1]
@@ -119,3 +123,21 @@ def fit(df: DataFrame, features: Sequence[str], label: str = "label", ridge: flo
     if varies.any():
         found[varies] = np.linalg.lstsq(system[np.ix_(varies, varies)], right[varies], rcond=None)[0] / scale[varies]
     return LeastSquares(features, found.tolist(), float(means[-1] - means[:-1] @ found), count)
+
+
+def path(
+    train: DataFrame, late: DataFrame, features: Sequence[str], ridges: Sequence[float], label: str = "label"
+) -> tuple[LeastSquares, list[tuple[float, float]]]:
+    """The model of the penalty with the lowest error on the ``late`` rows (ties: the largest), and (penalty, RMSE)
+    of all. Both sets of rows are read once: the errors too come from Gram sums. Without late rows the
+    smallest penalty is taken and errors are NaN."""
+    known = gram(train, [*features, label])
+    count, means, sums = gram(late, [*features, label])
+    found = []
+    for ridge in sorted(ridges, reverse=True):
+        model = solve(features, *known, ridge)
+        v = np.append(-np.array(model.coefficients), 1.0)
+        total = v @ sums @ v + count * (means @ v - model.intercept) ** 2
+        found.append((model, ridge, float(np.sqrt(max(total, 0.0) / count)) if count else float("nan")))
+    best = min(found, key=lambda f: f[2])[0] if count else found[-1][0]
+    return best, [(ridge, error) for _, ridge, error in found]

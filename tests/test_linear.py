@@ -69,3 +69,44 @@ def test_category_codes_equal_plain_counting(spark, hot):
     got = {r.id: r.kind_code for r in apply_codes(new, {"kind": codes}).collect()}
     assert got == {1: 0.0, 2: float(len(want)), 3: float(len(want))}
     assert apply_codes(new, {"kind": category_codes(df.limit(0), "kind")}).agg(F.max("kind_code")).first()[0] == 0.0
+
+
+def test_path_errors_equal_scoring(spark):
+    _, _, df = _rows(spark)
+    train, late = df.where("a <= 1000001"), df.where("a > 1000001")
+    best, errors = linear.path(train, late, ["a", "b"], [0.0, 0.5, 5.0])
+    for ridge, error in errors:
+        model = linear.fit(train, ["a", "b"], ridge=ridge)
+        raw = late.select("label", model.value(late.columns).alias("p"))
+        assert error == pytest.approx(raw.agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("p"), 2)))).first()[0], abs=1e-6)
+    assert [e[0] for e in errors] == [5.0, 0.5, 0.0]
+    assert best.coefficients == linear.fit(train, ["a", "b"]).coefficients
+    assert np.isnan(linear.path(train, late.limit(0), ["a", "b"], [0.0, 0.5])[1][0][1])
+
+
+def test_forest_grows_in_blocks(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+
+    from shelfcast.models import staged
+    from shelfcast.models.ensemble import LABEL, regressor
+
+    _, _, df = _rows(spark, 300)
+    frame = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.withColumnRenamed("label", LABEL))
+    frame = frame.withColumn("_late", F.col("a") > 1000002).coalesce(1).cache()
+    estimator = regressor("forest", {"numTrees": 7, "maxDepth": 3})
+    model = staged.grow_forest(estimator, frame, "_late", block=2, patience=10)
+    assert len(model.errors) == 4 and sum(model.sizes) <= 7
+    assert len(model.blocks) == int(np.argmin(model.errors)) + 1
+    late = frame.where("_late")
+    got = model.transform(late)
+    assert got.columns == [*late.columns, "_forest"]
+    rmse = got.agg(F.sqrt(F.avg(F.pow(F.col(LABEL) - F.col("_forest"), 2)))).first()[0]
+    assert rmse == pytest.approx(min(model.errors))
+    # Without patience growth ends at the first block that is not better.
+    short = staged.grow_forest(estimator, frame, "_late", block=2, patience=1)
+    first = next((k for k in range(1, 4) if model.errors[k] >= min(model.errors[:k])), 3)
+    assert len(short.errors) == first + 1
+    model.save(str(tmp_path / "forest"))
+    back = staged.StagedForest.load(str(tmp_path / "forest"), len(model.blocks), "_forest")
+    assert [r["_forest"] for r in back.transform(late).collect()] == [r["_forest"] for r in got.collect()]
+    assert sum(staged.grow_forest(estimator, frame.where("not _late"), "_late", block=4).sizes) == 7
