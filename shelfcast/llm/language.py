@@ -19,9 +19,12 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from shelfcast.llm import words as W
 
-# Dimensions; letter symbols (0 is the gap between words, 1-26 are a-z, other letters are hashed
-# to the rest); sharpness of the score; languages that a model holds at most.
-DIMS, SYMBOLS, SHARP, MAX_LANGUAGES = 512, 64, 20.0, 1000
+# Dimensions (a multiple of 64); sharpness of the score; distinct languages that a model can hold
+# (2 KB each in every task); languages whose sums a task holds before it hands them on.
+DIMS, SHARP, MAX_LANGUAGES, HELD = 512, 20.0, 20_000, 1000
+# Kinds of n-gram bound at once; ids of n-grams that are numbered by a table, not by sorting.
+KINDS, DENSE = 1 << 14, 1 << 21
+SEED = 41
 # Text bytes and rows worked on at once: each row takes a dense row of the block's trigrams.
 BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 256
 UNKNOWN = "und"
@@ -30,49 +33,75 @@ RARE, BINS = 1000, 1000
 
 
 @lru_cache(maxsize=1)
-def symbols() -> np.ndarray:
-    """Symbol of every code point."""
-    table = np.zeros(0x110000, np.uint8)
+def letters() -> np.ndarray:
+    """Lower-case letter of every code point, 0 for those that are no letters."""
+    table = np.zeros(0x110000, np.uint32)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
-            low = ord(c.lower()[0])
-            table[cp] = low - 96 if 97 <= low <= 122 else 27 + low % (SYMBOLS - 27)
+            table[cp] = ord(c.lower()[0])
     return table
 
 
-@lru_cache(maxsize=1)
-def letter_vectors() -> np.ndarray:
-    """Random vectors per place of a trigram: one set of letter vectors, permuted by rotation."""
-    base = np.random.default_rng(41).integers(0, 2, (SYMBOLS, DIMS)).astype(np.float32) * 2 - 1
-    return np.stack([np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base])
+def letter_vectors(points: np.ndarray) -> np.ndarray:
+    """A random vector of +1 and -1 for every code point, from a seeded hash of the code point alone."""
+    parts = np.arange(DIMS // 64, dtype=np.uint64)
+    x = points.astype(np.uint64)[:, None] * np.uint64(DIMS // 64) + parts + np.uint64(SEED << 32)
+    # Rounds of a 64-bit mixing function (odd multipliers are fixed values).
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    bits = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(len(points), -1), axis=1)
+    return bits.astype(np.float32) * 2 - 1
+
 
+def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(trigram, text) around every letter, and the block's letters; neighbours outside the word are gaps.
 
-def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(trigram, text) around every letter; neighbours outside the word are gaps."""
+    A trigram is a number in base ``len(letters)`` whose digits are places in the list of the block's
+    letters; the first of these is the gap.
+    """
     lead = (data & 0xC0) != 0x80
     at = np.concatenate([[0], np.cumsum(lead)])[offsets]
-    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    s = symbols()[points]
+    points = letters()[np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)]
+    seen = np.zeros(0x110000, bool)
+    seen[0] = True
+    seen[points] = True
+    used = np.flatnonzero(seen)
+    place = np.zeros(0x110000, np.int64)
+    place[used] = np.arange(len(used))
     # A gap before the first text and after each text.
-    s = np.insert(s, np.append(at[:-1], len(s)), 0).astype(np.int64)
+    s = np.insert(place[points], np.append(at[:-1], len(points)), 0)
     middle = np.flatnonzero(s[1:-1]) + 1 if len(s) > 2 else np.zeros(0, np.int64)
-    gram = (s[middle - 1] * SYMBOLS + s[middle]) * SYMBOLS + s[middle + 1]
+    gram = (s[middle - 1] * len(used) + s[middle]) * len(used) + s[middle + 1]
     starts = at[:-1] + np.arange(len(at) - 1)
-    return gram, np.searchsorted(starts, middle, "right") - 1
-
-
-def bundle(gram: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
-    """Sum of the n-gram vectors of every owner, as one matrix product."""
-    seen = np.zeros(SYMBOLS**3, bool)
-    seen[gram] = True
-    kinds = np.flatnonzero(seen)
-    column = np.empty(SYMBOLS**3, np.int64)
-    column[kinds] = np.arange(len(kinds))
-    counts = np.bincount(owner * len(kinds) + column[gram], minlength=owners * len(kinds)).reshape(owners, len(kinds))
-    one, two, three = letter_vectors()
-    bound = one[kinds // SYMBOLS**2] * two[kinds // SYMBOLS % SYMBOLS] * three[kinds % SYMBOLS]
-    return counts.astype(np.float32) @ bound
+    return gram, np.searchsorted(starts, middle, "right") - 1, used
+
+
+def bundle(gram: np.ndarray, owner: np.ndarray, owners: int, used: np.ndarray) -> np.ndarray:
+    """Sum of the n-gram vectors of every owner, as matrix products over slices of the kinds of n-gram."""
+    size = len(used)
+    if size**3 <= DENSE:
+        seen = np.zeros(size**3, bool)
+        seen[gram] = True
+        kinds = np.flatnonzero(seen)
+        table = np.empty(size**3, np.int64)
+        table[kinds] = np.arange(len(kinds))
+        column = table[gram]
+    else:
+        kinds, column = np.unique(gram, return_inverse=True)
+    base = letter_vectors(used)
+    one, two = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
+    out = np.zeros((owners, DIMS), np.float32)
+    for a in range(0, len(kinds), KINDS):
+        part = kinds[a : a + KINDS]
+        mine = slice(None) if len(kinds) <= KINDS else (column >= a) & (column < a + len(part))
+        cell = owner[mine] * len(part) + (column[mine] - a)
+        counts = np.bincount(cell, minlength=owners * len(part)).reshape(owners, len(part))
+        bound = one[part // size**2] * two[part // size % size] * base[part % size]
+        out += counts.astype(np.float32) @ bound
+    return out
 
 
 @dataclass
@@ -83,22 +112,26 @@ class Profiles:
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score, largest cosine and number of letters of every text."""
         texts = len(offsets) - 1
-        gram, owner = trigrams(data, offsets)
+        gram, owner, used = trigrams(data, offsets)
         if not len(gram) or not self.languages:
             return [UNKNOWN] * texts, np.zeros(texts), np.zeros(texts), np.bincount(owner, minlength=texts)
-        vectors = bundle(gram, owner, texts)
+        vectors = bundle(gram, owner, texts, used)
         cosine = vectors @ self.prototypes.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         best = cosine.argmax(axis=1)
         share = np.exp(SHARP * (cosine - cosine.max(axis=1, keepdims=True)).astype(np.float64))
         score = 1.0 / share.sum(axis=1)
-        letters = np.bincount(owner, minlength=texts)
-        none = letters == 0
+        sizes = np.bincount(owner, minlength=texts)
+        none = sizes == 0
         most = np.where(none, 0.0, cosine.max(axis=1).astype(np.float64))
-        return [UNKNOWN if e else self.languages[b] for e, b in zip(none, best)], np.where(none, 0.0, score), most, letters
+        return [UNKNOWN if e else self.languages[b] for e, b in zip(none, best)], np.where(none, 0.0, score), most, sizes
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
-    """Prototypes from all rows with a text and a language (the ``MAX_LANGUAGES`` most used)."""
+    """Prototypes of all languages, from all rows with a text and a language.
+
+    Null texts and languages teach nothing, nor do texts without a letter; repeated rows count each. More
+    than ``MAX_LANGUAGES`` distinct values are an error: such a column does not name languages.
+    """
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -108,15 +141,15 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
             code = np.array([codes[n] for n in names])
             data, offsets = W.plain(batch.column(0))
             for a, b in W.ranges(offsets, BLOCK_BYTES, BLOCK_ROWS):
-                gram, owner = trigrams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                gram, owner, used = trigrams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 if not len(gram):
                     continue
                 kinds, index = np.unique(code[a:b], return_inverse=True)
-                found = bundle(gram, index[owner], len(kinds)).astype(np.float64)
+                found = bundle(gram, index[owner], len(kinds), used).astype(np.float64)
                 every = list(codes)
                 for k, v in zip(kinds.tolist(), found):
                     sums[every[k]] = sums.get(every[k], 0.0) + v
-            if len(sums) > MAX_LANGUAGES:
+            if len(sums) > HELD:
                 yield from _rows(sums)
                 sums = {}
         yield from _rows(sums)
@@ -130,12 +163,14 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
     known = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     parts = known.filter("text is not null and lang is not null").mapInArrow(W.tidy(bundles), "lang string, v array<double>")
     sums = parts.select("lang", F.posexplode("v").alias("d", "x")).groupBy("lang", "d").agg(F.sum("x").alias("x"))
-    total = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("v"), F.sum(F.abs("x")).alias("w"))
-    found = total.orderBy(F.desc("w"), "lang").limit(MAX_LANGUAGES).select("lang", "v.x").collect()
-    found = sorted(found, key=lambda r: r["lang"])
-    table = np.array([r["x"] for r in found], np.float64).reshape(len(found), DIMS)
+    total = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("v"))
+    found = total.select("lang", "v.x").limit(MAX_LANGUAGES + 1).toArrow().combine_chunks().sort_by("lang")
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
+    flat = [c.flatten().to_numpy(zero_copy_only=False) for c in found.column("x").chunks]
+    table = np.concatenate([np.zeros(0), *flat]).reshape(len(found), DIMS)
     table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)
-    return Profiles([r["lang"] for r in found], table.astype(np.float32))
+    return Profiles(found.column("lang").to_pylist(), table.astype(np.float32))
 
 
 def predict(
@@ -158,11 +193,11 @@ def predict(
             data, offsets = W.plain(batch.column(names.index(text_col)))
             langs, scores, most, sizes = [], [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)]
             for a, b in W.ranges(offsets, BLOCK_BYTES, BLOCK_ROWS):
-                found, value, near, letters = held.value.predict(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                found, value, near, size = held.value.predict(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 langs += found
                 scores.append(value)
                 most.append(near)
-                sizes.append(letters)
+                sizes.append(size)
             made = [pa.array(langs, pa.string()), *(pa.array(np.concatenate(x)) for x in (scores, most, sizes))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made[: len(new)]], [*names, *new])
 

@@ -1,20 +1,25 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Every rule rejects texts by a condition on the text's measures. On a sample, each rule's cost
-(the average of its work column) and what it rejects of the rows that earlier rules left are
-estimated; rules are then asked in the order of rejection per cost, and the first that rejects
-decides. The order saves work and never changes a verdict.
+Every rule rejects texts by a condition on measures of the text. On a written sample, each rule is
+run by itself to time it, and its verdicts are counted; rules are then asked in the order of
+rejection per cost, and the first that rejects decides. A measure is taken just before the first rule
+that needs it, and only of rows that no earlier rule rejected. The order saves work; it never
+changes what is kept, only which of several rejecting rules is named.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows sampled for the order of the rules.
-SAMPLE_ROWS = 2000
+from shelfcast.settings import forget, settle
+
+# Rows sampled for the order of the rules; files of the sample; runs of which the fastest is a rule's time.
+SAMPLE_ROWS, SAMPLE_FILES, RUNS = 2000, 4, 2
 # Words of a repeated window; ASCII white space; the symbols that are counted (fixed values).
 WINDOW, BLANKS, SYMBOLS = 8, " \t\n\x0b\x0c\r", "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -71,61 +76,121 @@ def repeated_words(words: Column, size: int = WINDOW) -> Column:
     return F.when(count < size, 0).otherwise(let(hashes, by_hash))
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long).
+def lines_of(text: Column) -> Column:
+    return F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, BLANKS, "")) > 0)
 
-    A null text counts as empty: all are 0. Names that ``docs`` has already are replaced.
+
+def _text(text: Column) -> Column:
+    return text
+
+
+# Every measure: what the text is cut into, and the number taken from that.
+Measure = tuple[Callable[[Column], Column], Callable[[Column], Column]]
+MEASURES: dict[str, Measure] = {
+    "n_words": (words_of, F.size),
+    "word_chars": (_text, lambda text: F.length(F.translate(text, BLANKS, ""))),
+    "n_symbols": (_text, lambda text: without(text, SYMBOLS)),
+    "n_lines": (lines_of, F.size),
+    "n_dup_lines": (lines_of, lambda lines: F.size(lines) - F.size(F.array_distinct(lines))),
+    "n_repeat_words": (words_of, repeated_words),
+}
+MORE: dict[str, Measure] = {"n_text_chars": (_text, F.length), "n_capitals": (_text, lambda text: without(text, CAPITALS))}
+
+
+def take(
+    docs: DataFrame, names: Sequence[str], text_col: str = "text", where: Column | None = None, own: Mapping[str, Measure] | None = None
+) -> DataFrame:
+    """``docs`` with the named measures (long), null in rows where ``where`` does not hold.
+
+    Measures of the same cut share it. Null texts count as empty. Names that ``docs`` has already are replaced.
     """
+    known = {**MEASURES, **MORE, **(own or {})}
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    cuts: dict[Callable, list[str]] = {}
+    for name in names:
+        cuts.setdefault(known[name][0], []).append(name)
+    made, read = {}, {}
 
-    def of_words(words: Column) -> Column:
-        return F.struct(F.size(words).alias("n_words"), repeated_words(words).alias("n_repeat_words"))
+    def numbers(group: list[str]) -> Callable[[Column], Column]:
+        return lambda part: F.struct(*(known[m][1](part).cast("long").alias(m) for m in group))
 
-    def of_lines(lines: Column) -> Column:
-        return F.struct(F.size(lines).alias("n_lines"), (F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"))
+    for i, (cut, group) in enumerate(cuts.items()):
+        found = let(cut(text), numbers(group))
+        made[f"_cut{i}"] = found if where is None else F.when(where, found)
+        read |= {m: F.col(f"_cut{i}.{m}") for m in group}
+    return docs.withColumns(made).withColumns({m: read[m] for m in names}).drop(*made) if made else docs
 
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, BLANKS, "")) > 0)
-    parts = docs.withColumns({"_words": let(words_of(text), of_words), "_lines": let(lines, of_lines)})
-    out = {
-        "n_words": F.col("_words.n_words"),
-        "word_chars": F.length(F.translate(text, BLANKS, "")),
-        "n_symbols": without(text, SYMBOLS),
-        "n_lines": F.col("_lines.n_lines"),
-        "n_dup_lines": F.col("_lines.n_dup_lines"),
-        "n_repeat_words": F.col("_words.n_repeat_words"),
-    }
-    return parts.withColumns({k: v.cast("long") for k, v in out.items()}).drop("_words", "_lines")
+
+def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long).
+
+    A null text counts as empty: all are 0. Names that ``docs`` has already are replaced.
+    """
+    return take(docs, list(MEASURES), text_col)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``reject`` is true for texts that go; ``work`` is about how many steps one test takes."""
+    """``reject`` is true for texts that go; ``work`` is about how many steps one test takes.
+
+    ``needs`` names the measures that both read; ``own`` defines those that ``MEASURES`` and ``MORE`` lack.
+    """
 
     name: str
     reject: Column
     work: Column
+    needs: tuple[str, ...] = ()
+    own: Mapping[str, Measure] | None = None
 
 
-def default_rules(text_col: str = "text") -> list[Rule]:
-    """Rules over the columns of ``measures`` and the text."""
-    c, text = F.col, F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    chars = F.length(text)
+def default_rules() -> list[Rule]:
+    """Rules over the measures."""
+    words, chars, symbols, lines, again, repeated, length, capitals = (F.col(m) for m in (*MEASURES, *MORE))
     return [
-        Rule("few words", c("n_words") < 20, c("n_words")),
-        Rule("repeated words", 100 * c("n_repeat_words") > 30 * c("n_words"), c("n_words") * (WINDOW + 4)),
-        Rule("repeated lines", 2 * c("n_dup_lines") > c("n_lines"), chars + c("n_lines")),
-        Rule("symbols", 5 * c("n_symbols") > c("n_words"), chars),
-        Rule("word length", (c("word_chars") > 20 * c("n_words")) | (c("word_chars") < 2 * c("n_words")), chars + c("n_words")),
-        Rule("shouting", 2 * without(text, CAPITALS) > c("word_chars"), 2 * chars),
+        Rule("few words", words < 20, words, ("n_words",)),
+        Rule("repeated words", 100 * repeated > 30 * words, words * (WINDOW + 4), ("n_words", "n_repeat_words")),
+        Rule("repeated lines", 2 * again > lines, length + lines, ("n_text_chars", "n_lines", "n_dup_lines")),
+        Rule("symbols", 5 * symbols > words, length, ("n_text_chars", "n_words", "n_symbols")),
+        Rule("word length", (chars > 20 * words) | (chars < 2 * words), length + words, ("n_text_chars", "n_words", "word_chars")),
+        Rule("shouting", 2 * capitals > chars, 2 * length, ("n_text_chars", "word_chars", "n_capitals")),
     ]
 
 
-def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Greedy order by rejection per cost, both from a sample of about ``sample_rows`` rows."""
-    total = docs.count()
-    if not total:
+def _seconds(frame: DataFrame, *asked: Column) -> tuple[float, list]:
+    """Time of the fastest of ``RUNS`` aggregations of ``frame``, and their row."""
+    times, row = [], None
+    for _ in range(RUNS):
+        start = time.perf_counter()
+        row = frame.agg(*asked).first()
+        times.append(time.perf_counter() - start)
+    return min(times), row
+
+
+def time_rules(sample: DataFrame, rules: list[Rule], text_col: str = "text") -> dict[str, float]:
+    """Seconds per step of ``work`` of every rule, run by itself on ``sample`` (a small table).
+
+    The time of reading the texts alone is taken off; at least a hundredth of it stays.
+    """
+    empty, _ = _seconds(sample, F.sum(F.length(F.col(text_col).cast("string"))))
+    rates = {}
+    for rule in rules:
+        frame = take(sample, rule.needs, text_col, own=rule.own)
+        took, row = _seconds(frame, F.count_if(rule.reject), F.sum(rule.work.cast("double")))
+        rates[rule.name] = max(took - empty, 0.01 * empty) / max(row[1] or 0.0, 1.0)
+    return rates
+
+
+def order_rules(
+    docs: DataFrame, rules: list[Rule], sample_rows: int | None = SAMPLE_ROWS, rates: Mapping[str, float] | None = None
+) -> list[Rule]:
+    """Greedy order by rejection per cost, both from a sample of about ``sample_rows`` rows (None: all of ``docs``).
+
+    ``docs`` has the measures. A rule's cost is its work on the rows that earlier rules left, times its rate (1 if not given).
+    """
+    total = docs.count() if sample_rows else 0
+    if sample_rows and not total:
         return rules
-    sample = docs.sample(fraction=min(1.0, sample_rows / total), seed=17)
+    sample = docs.sample(fraction=min(1.0, sample_rows / total), seed=17) if sample_rows else docs
     flags = [F.coalesce(r.reject, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
     costs = [F.coalesce(r.work, F.lit(0)).cast("double").alias(f"w{i}") for i, r in enumerate(rules)]
     names = [f"r{i}" for i in range(len(rules))]
@@ -133,11 +198,13 @@ def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_RO
     seen = sample.select(*flags, *costs).groupBy(*names).agg(
         F.count(F.lit(1)).alias("n"), *(F.sum(f"w{i}").alias(f"w{i}") for i in range(len(rules)))
     ).collect()
+    rate = [(rates or {}).get(r.name, 1.0) for r in rules]
+    least = min(rate)
     rest, left, order = [r.asDict() for r in seen], list(range(len(rules))), []
     while left:
         def gain(i: int) -> tuple[float, int]:
             hit = sum(r["n"] for r in rest if r[f"r{i}"])
-            cost = sum(r[f"w{i}"] for r in rest)
+            cost = sum(r[f"w{i}"] for r in rest) * rate[i] / least
             return hit / (cost + 1.0), -i
 
         best = max(left, key=gain)
@@ -147,25 +214,47 @@ def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_RO
     return [rules[i] for i in order]
 
 
-def cascade(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+def cascade(docs: DataFrame, rules: list[Rule], text_col: str = "text", have: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with ``rejected_by`` (the first rule that rejects, else null) and ``kept``.
 
-    Rules are asked in the given order; a rule whose condition is null does not reject.
+    Rules are asked in the given order; a rule whose condition is null does not reject. Measures that
+    ``have`` does not name (None: the columns of ``docs``) are taken just before the first rule that needs
+    them, of the rows still undecided, and are null in the others.
     """
-    verdict = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        verdict = F.when(rule.reject, F.lit(rule.name)).otherwise(verdict)
-    return docs.withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())
-
-
-def apply_rules(docs: DataFrame, rules: list[Rule] | None = None, text_col: str = "text") -> DataFrame:
-    """Measures, order and cascade: ``docs`` with the measures, ``rejected_by`` and ``kept``.
-
-    Null and empty texts have measures 0 and are rejected for few words; repeated rows and null ids are
-    rows like others; an empty table stays empty with the new columns.
+    have = list(docs.columns if have is None else have)
+    docs = docs.withColumn("rejected_by", F.lit(None).cast("string"))
+    for rule in rules:
+        new = [m for m in rule.needs if m not in have]
+        open_ = F.col("rejected_by").isNull()
+        docs = take(docs, new, text_col, where=open_, own=rule.own)
+        docs = docs.withColumn("rejected_by", F.coalesce(F.col("rejected_by"), F.when(rule.reject, F.lit(rule.name))))
+        have += new
+    return docs.withColumn("kept", F.col("rejected_by").isNull())
+
+
+def apply_rules(
+    docs: DataFrame, rules: list[Rule] | None = None, text_col: str = "text", full: Sequence[str] = tuple(MEASURES)
+) -> DataFrame:
+    """Order and cascade: ``docs`` with measures, ``rejected_by`` and ``kept``.
+
+    The measures in ``full`` are taken of every row; ``full=()`` takes none but of rows that a rule still
+    asks about. Other measures are dropped again. Null and empty texts have measures 0 and are rejected
+    for few words; repeated rows and null ids are rows like others; an empty table stays empty with the
+    new columns. Columns of ``docs`` with the names of new columns are replaced, all others stay.
     """
-    rules = default_rules(text_col) if rules is None else rules
-    measured = measures(docs, text_col)
+    rules = default_rules() if rules is None else rules
+    asked = dict.fromkeys(m for r in rules for m in r.needs)
+    own = {name: m for r in rules for name, m in (r.own or {}).items()}
+    out = [*full, "rejected_by", "kept"]
+    names = [c for c in docs.columns if c not in out]
+    # Columns of the input go by numbers, so that none is taken for a measure.
+    docs = docs.select(F.col(text_col).cast("string").alias("_text"), *(F.col(c).alias(f"_in{i}") for i, c in enumerate(names)))
     total = docs.count()
-    share = min(1.0, 1.2 * SAMPLE_ROWS / total) if total else 1.0
-    return cascade(measured, order_rules(measures(docs.sample(fraction=share, seed=5), text_col), rules))
+    if total:
+        share = min(1.0, SAMPLE_ROWS / total)
+        sample = settle(docs.select("_text").sample(fraction=share, seed=5).repartition(SAMPLE_FILES), "sample")
+        rates = time_rules(sample, rules, "_text")
+        rules = order_rules(take(sample, list(asked), "_text", own=own), rules, None, rates)
+        forget(sample)
+    first = take(docs, list(full), "_text", own=own)
+    return cascade(first, rules, "_text", full).select(*(F.col(f"_in{i}").alias(c) for i, c in enumerate(names)), *out)
