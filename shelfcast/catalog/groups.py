@@ -232,7 +232,7 @@ QUERIES = {
           COALESCE(price / NULLIF({_avg('price', 'weighed, store_id')}, 0), 0) AS ratio FROM loaded) t""",
     ),
     "weighed_quantile_scale": Query(
-        lambda r: stores.weighed_quantile_scale(r.loaded), f"{ID} sales_scale_weighed~6 sales_scale_unit~6",
+        lambda r: stores.weighed_quantile_scale(r.lines("net_sales", "weighed")), f"{ID} sales_scale_weighed~6 sales_scale_unit~6",
         """SELECT *, CASE WHEN weighed = 1 THEN v ELSE 0 END AS sales_scale_weighed,
           CASE WHEN weighed = 0 THEN v ELSE 0 END AS sales_scale_unit FROM (SELECT *,
           GREATEST(0, LEAST(1, (net_sales - q25) / CASE WHEN q75 = q25 THEN 1 ELSE q75 - q25 END)) AS v
@@ -325,16 +325,16 @@ QUERIES = {
     ),
     # ---- ordered windows ----
     "lags": Query(
-        lambda r: history.lags(r.loaded), f"{ID} " + " ".join(f"lag_{n}" for n in history.LAGS_WIDE),
+        lambda r: history.lags(r.lines("net_sales")), f"{ID} " + " ".join(f"lag_{n}" for n in history.LAGS_WIDE),
         _lag_sql(history.LAGS_WIDE, "sku"),
     ),
     "lags_lean": Query(
-        lambda r: history.lags(r.loaded, history.LAGS_LEAN, fill_by=history.GROUP),
+        lambda r: history.lags(r.lines("net_sales"), history.LAGS_LEAN, fill_by=history.GROUP),
         f"{ID} " + " ".join(f"lag_{n}" for n in history.LAGS_LEAN),
         _lag_sql(history.LAGS_LEAN, "sku, store_id"),
     ),
     "rolling_stats": Query(
-        lambda r: history.rolling_stats(r.loaded),
+        lambda r: history.rolling_stats(r.lines("net_sales")),
         f"{ID} " + " ".join(f"{s}_{n}~6" for n in history.WINDOWS_WIDE for s in ROLLING),
         _rolling_sql(history.WINDOWS_WIDE, ROLLING),
     ),
@@ -400,11 +400,11 @@ QUERIES = {
     ),
     # ---- target ----
     "winsorize_target": Query(
-        lambda r: target.winsorize_target(r.loaded), f"{ID} net_sales~6", "SELECT * FROM clipped",
+        lambda r: target.winsorize_target(r.lines("net_sales")), f"{ID} net_sales~6", "SELECT * FROM clipped",
         _boxcox_sql(),
     ),
     "boxcox_target": Query(
-        lambda r: target.boxcox_target(target.winsorize_target(r.loaded)), f"{ID} boxcox_net_sales~4",
+        lambda r: target.boxcox_target(target.winsorize_target(r.lines("net_sales", "weighed"))), f"{ID} boxcox_net_sales~4",
         """SELECT c.*, CASE WHEN net_sales > 0 AND weighed = 0 THEN ((CASE WHEN p = 0 THEN LN(net_sales)
           ELSE (POWER(net_sales, p) - 1) / p END) - m) / sd ELSE 0 END AS boxcox_net_sales
           FROM clipped c CROSS JOIN best2""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.skew import ordered, quantiles
 from shelfcast.schema import GROUP, ORDER
+from shelfcast.settings import settle
 
 TINY = 1e-7
 PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
@@ -64,7 +65,8 @@ def error_percentiles(
     df: DataFrame, truth: str = "net_sales", predicted: str = "predicted"
 ) -> DataFrame:
     _, _, error = _pair(truth, predicted)
-    return quantiles(df, [], error, {f"error_p{round(q * 100)}": q for q in PERCENTILES})
+    errors = settle(df.select(error.alias("_error")), "errors")  # the quantiles read them several times
+    return quantiles(errors, [], "_error", {f"error_p{round(q * 100)}": q for q in PERCENTILES})
 
 
 def within_tolerance(
