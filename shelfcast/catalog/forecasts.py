@@ -52,7 +52,7 @@ def _best_sql(side: str, k: int) -> str:
 
 
 def _report(r):
-    lines = r.lines("net_sales")
+    lines = r.lines("net_sales", "is_holiday")
     scored = settle(previous_mean(lines).select("sku", "net_sales", "predicted"), "scored")
     return quality.report_table(
         scored, summary.season_weekday(lines), summary.season_month(lines),

@@ -65,7 +65,7 @@ def wide_features(
     carry = {"_price_before": "price"}
     df = ordered(df, [*scope, *GROUP], ORDER, by_group, 91, carry, source, spread=True).drop("_median")
     lagged = [f"lag_{n}" for n in history.LAGS_WIDE]
-    sloped = ["trend_slope_7", "acceleration_7", "recent_promo_7", "price_change"]
+    sloped = ["trend_slope_7", "acceleration_7", "price_change", "recent_promo_7"]
 
     df = df.select(*given, *[c for c in df.columns if c not in given])
     df = _row_features(df, holidays, promotions, scope, source)
