@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.streaming.messages import changes_only, changes_only_stream, json_messages
+from shelfcast.streaming.messages import BUCKETS, changes_only, changes_only_stream, json_messages
 
 SCHEMA = "user_id bigint, ts timestamp_ntz, event_id bigint, event_type string"
 START = dt.datetime(2024, 1, 1)
@@ -106,6 +106,15 @@ def test_idle_sessions_are_forgotten(spark, tmp_path):
     assert {200, 300} <= set(want) and not {100, 301} & set(want)
 
 
+def test_state_has_a_key_per_bucket_not_per_session(spark, tmp_path):
+    rows = [(u, at(k * 5 + u % 5), 2 * u + k, "ab"[(u + k) % 2]) for u in range(3 * BUCKETS) for k in range(2)]
+    stream = Stream(spark, tmp_path, delay=dt.timedelta(minutes=1))
+    progress = stream.send(rows)
+    assert max(s["numRowsTotal"] for p in progress for s in p["stateOperators"]) <= BUCKETS
+    stream.close()
+    assert stream.ids() == batch_ids(spark, rows) == list(range(6 * BUCKETS))
+
+
 @pytest.mark.parametrize("limit", [None, "40"])
 def test_expiry_in_tables(spark, limit):
     rows = [(i % 2, at(i if i < 60 else i + 300), i, "a") for i in range(120)]
