@@ -40,6 +40,26 @@ def test_receipts_take_one_shuffle_of_the_sales(spark):
     assert (lost["receipt_total"], lost["certificate_total"], lost["returned_qty"]) == (None, 0.0, 0.0)
 
 
+def test_sales_joined_by_receipt_stay_where_they_lie(spark):
+    sales = settle(lines(spark))
+    cards = settle(spark.createDataFrame([(k, str(k)) for k in (0, 1, 1, 5, None)], "receipt_id long, card string"))
+    back = settle(spark.createDataFrame(
+        [(1, "s1", "a", 1.0), (1, "s1", "a", 2.0), (None, "s0", "a", 5.0), (99, "s0", "a", 5.0), (2, None, "a", 5.0)],
+        "receipt_id long, sku string, store_id string, returned_qty double",
+    ))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = sales.join(cards, "receipt_id", "left")
+        both = load.join_receipts(joined, back, in_place=True)
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("REPARTITION_BY_COL") == 1  # the returns only
+        as_rows = lambda d: sorted(map(repr, d.collect()))
+        assert as_rows(both) == as_rows(load.join_receipts(joined, back))
+        assert both.columns == load.join_receipts(joined, back).columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_wide_rows_are_not_shuffled_after_the_windows(spark):
     holidays = spark.createDataFrame([(date(2020, 1, 3), "x", "state", 1)], "holiday_date date, holiday_name string, holiday_type string, day_off int")
     promotions = spark.createDataFrame([(5, "d", 0, 5.0, date(2020, 1, 1), date(2020, 1, 9))], "promo_id int, promo_type string, is_clearance int, discount_pct double, start_date date, end_date date")
