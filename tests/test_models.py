@@ -204,3 +204,32 @@ def test_case_defaults(spark, retail):
     )
     row = jobs.complete_cases(rows, retail.holidays, retail.promotions).first()
     assert (row["base_price"], row["promo_id"], row["discount_pct"], row["is_holiday"]) == (10.0, 0, 0.0, 1)
+
+
+def test_matrix_holds_only_what_fits_read(spark, monkeypatch):
+    """Order columns are written for a search only, and the files are packed harder than the session's."""
+    rows = [(*[None] * 7, float(k)) for k in range(3)]
+    kinds = ", ".join(f"{c} {'date' if c == 'sale_date' else 'double'}" for c in ORDER)
+    train = spark.createDataFrame(rows, f"{kinds}, net_sales double").withColumn("sale_date", F.lit("2020-01-01").cast("date"))
+
+    class Prepared:
+        def apply(self, df):
+            return df.withColumn("features", F.array("net_sales"))
+
+    class Written(Exception):
+        pass
+
+    def written(df, *given):
+        raise Written(df.columns, given)
+
+    monkeypatch.setattr(jobs, "prepare_matrix", lambda *_: Prepared())
+    monkeypatch.setattr(jobs, "settle", written)
+    for trials, order in ((0, []), (1, ORDER)):
+        with pytest.raises(Written) as seen:
+            jobs.fit_ensemble(train, ["price"], [], trials=trials)
+        assert seen.value.args == ([*order, "net_sales", "features", "_late", E.LABEL], ("matrix", "zstd"))
+
+
+def test_written_tables_take_the_codec_they_are_given(spark):
+    table = settle(spark.range(5), "packed", "zstd")
+    assert all(".zstd." in file for file in table.inputFiles()) and table.count() == 5
