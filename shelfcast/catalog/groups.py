@@ -141,13 +141,14 @@ LEAN_SQL = f"""SELECT *, {_avg('net_sales', 'sku')} AS sku_mean,
 def _trends(r):
     from shelfcast.operators.skew import ordered
 
-    df = history.with_median(r.loaded, ["sku"], "net_sales", "_median")
+    rows = r.lines("net_sales")
+    df = history.with_median(rows, ["sku"], "net_sales", "_median")
     df = ordered(
         df, history.GROUP, history.ORDER,
         lambda d, w: history.rolling_columns(
             history.lag_columns(d, w, [1], "net_sales", "_median"), w, [7, 30], ["mean"], "net_sales"
         ),
-        30,
+        30, source=rows,
     )
     return history.trend_diff(df)
 

@@ -5,11 +5,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from shelfcast.catalog.groups import QUERIES
 from shelfcast.operators.frames import mark_folds, ts_folds
 from shelfcast.plans.features import wide_features
 from shelfcast.schema import ORDER
 from shelfcast.settings import settle
 from shelfcast.sources import load
+from shelfcast.sources.fixture import Retail
 
 SALES = "receipt_id long, line_part long, line_supp long, line_no int, sku string, store_id string, sale_date date, quantity double, base_price double, price double"
 
@@ -60,6 +62,11 @@ def test_sales_joined_by_receipt_stay_where_they_lie(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_trends_read_the_sales_once(spark):
+    plan = QUERIES["trend_diff"].build(Retail(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan  # joins and receipts lie behind the written lines
+
+
 def test_wide_rows_are_not_shuffled_after_the_windows(spark):
     holidays = spark.createDataFrame([(date(2020, 1, 3), "x", "state", 1)], "holiday_date date, holiday_name string, holiday_type string, day_off int")
     promotions = spark.createDataFrame([(5, "d", 0, 5.0, date(2020, 1, 1), date(2020, 1, 9))], "promo_id int, promo_type string, is_clearance int, discount_pct double, start_date date, end_date date")
