@@ -34,6 +34,31 @@ def skewed(spark, retail):
     return settle(df, "skewed")
 
 
+@pytest.mark.parametrize("exclude", [False, True])
+def test_rolling_over_small_batches(spark, skewed, exclude):
+    """Batches that end inside groups and lists; no list of values per row."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        found = history.rolling(skewed, (3, 30), ["median", "count", "std", "max"], exclude_current=exclude)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        got = found.toPandas().sort_values(ORDER).reset_index(drop=True)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "collect_list" not in plan
+    groups = got.groupby(GROUP)["net_sales"]
+    for n in (3, 30):
+        for stat in ("median", "count", "std", "max"):
+            want = groups.transform(lambda s: getattr((s.shift() if exclude else s).rolling(n, min_periods=0 if stat == "count" else 1), stat)())  # noqa: B023
+            want = want.fillna(0) if stat in ("std", "count") else want
+            assert np.allclose(got[f"{stat}_{n}"].astype(float), want.astype(float), atol=1e-6, equal_nan=True), (stat, n)
+
+
+def test_rolling_refuses_rows_out_of_order(spark):
+    rows = spark.createDataFrame([(1.0, 1), (2.0, 3)], "v double, place int").coalesce(1)
+    with pytest.raises(Exception, match="not in the order of their window"):
+        rows.select(history.window_statistics([3], ["median"])("v", "place")).collect()
+
+
 CUT = {
     "lags": history.lags,
     "rolling_stats": history.rolling_stats,
