@@ -76,3 +76,29 @@ def test_wide_rows_are_not_shuffled_after_the_windows(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     rows = [e for e in re.findall("Exchange hashpartitioning\\(([^)]*)", plan) if "sku" in e]
     assert len(rows) == 2 and "SortMergeJoin" not in plan
+
+
+def _join_widths(node) -> list[int]:
+    """Columns that leave each join of a plan."""
+    found = [node.output().size()] if node.nodeName() == "Join" else []
+    children = node.children()
+    return found + [n for k in range(children.size()) for n in _join_widths(children.apply(k))]
+
+
+def test_wide_rows_are_looked_up_in_few_columns(spark):
+    """About a hundred columns, one by one through a dozen joins, took most of the time of the model's frame."""
+    holidays = spark.createDataFrame([(date(2020, 1, 3), "x", "state", 1)], "holiday_date date, holiday_name string, holiday_type string, day_off int")
+    promotions = spark.createDataFrame([(5, "d", 0, 5.0, date(2020, 1, 1), date(2020, 1, 9))], "promo_id int, promo_type string, is_clearance int, discount_pct double, start_date date, end_date date")
+    given = lines(spark).withColumns({"promo_id": F.lit(5), "promo_code": F.lit("c"), "weighed": F.lit(0), "customer_card": F.lit("1")})
+    given = given.unionByName(given.limit(2).withColumns({"sku": F.lit(None).cast("string"), "store_id": F.lit("b")}))
+    empty = spark.createDataFrame([], "receipt_id long, sku string, store_id string, returned_qty double")
+    loaded = settle(load.load(given, empty, promotions, holidays))
+    found = wide_features(loaded, holidays, promotions)
+    widths = _join_widths(found._jdf.queryExecution().optimizedPlan())
+    assert len(found.columns) > 100 and len(widths) > 7 and max(widths) < 40
+    rows = found.collect()
+    assert len(rows) == loaded.count()
+    assert {(r.days_to_holiday, r.days_to_state, r.month, r.sku_day_relative) for r in rows if r.sale_date is None} == {(999, 999, None, 1.0)}
+    assert {(r.price_vs_sku_mean, r.sku_mean_discount, r.promo_sales_mean, r.store_rank) for r in rows if r.sku is None} == {(1.0, None, None, 0.5)}
+    by_hand = {r.sku: r.m for r in loaded.groupBy("sku").agg(F.avg("price").alias("m")).collect()}
+    assert all(abs(r.price_vs_sku_mean - r.price / by_hand[r.sku]) < 1e-9 for r in rows if r.sku)
