@@ -233,3 +233,17 @@ def test_matrix_holds_only_what_fits_read(spark, monkeypatch):
 def test_written_tables_take_the_codec_they_are_given(spark):
     table = settle(spark.range(5), "packed", "zstd")
     assert all(".zstd." in file for file in table.inputFiles()) and table.count() == 5
+
+
+def test_matrix_without_a_written_frame(spark, retail, monkeypatch):
+    """Codes and encodings learnt beside the frame are those learnt from it, and no frame is written for them."""
+    from shelfcast.catalog import forecasts
+
+    monkeypatch.setattr(forecasts, "_kept", {})
+    alone = forecasts.matrix(retail)
+    assert [key[-1] for key in forecasts._kept] == ["matrix"]
+    monkeypatch.setattr(forecasts, "_kept", {})
+    forecasts.frame(retail)
+    beside = forecasts.matrix(retail)
+    plain = lambda d: sorted(map(repr, d.collect()))
+    assert alone.dtypes == beside.dtypes and plain(alone) == plain(beside)
